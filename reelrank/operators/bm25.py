@@ -19,6 +19,10 @@ found once per class.
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -31,8 +35,17 @@ K1 = 1.1
 B = 0.4
 
 UNIT = 100_000_000
+# Step of a strength of 0, below that of every positive double.
+NO_STEP = -100_000
 BLOCK = 512
 HEAVY_HISTORY = 4096
+# Blocks of the history x similarity product: log rows, similarities, score cells held at a time.
+LONG_HISTORY = 100_000
+LOG_BLOCK = 8_000_000
+SIM_BLOCK = 16_000_000
+SCORE_CELLS = 4_000_000
+BLOCKS_PER_CORE = 3
+SCORE_DIGITS = 9
 # Users treated by class; 2^MAX_HEAVY - 1 classes at most, so every table over classes is bounded.
 MAX_HEAVY = 8
 
@@ -106,7 +119,7 @@ def _both_ways(pairs: DataFrame) -> DataFrame:
 
 
 def _best(pairs: DataFrame, by: list[str], strength: Column, other: str, k: int) -> DataFrame:
-    """The k strongest per key, ties by the lower ``other``; cut per task before the shuffle."""
+    """The k strongest per key, ties by the lower ``other``."""
     order = Window.partitionBy(*by).orderBy(F.desc("_strength"), other)
     return (
         pairs.withColumn("_strength", strength)
@@ -115,6 +128,27 @@ def _best(pairs: DataFrame, by: list[str], strength: Column, other: str, k: int)
     )
 
 
+def _promising(pairs: DataFrame, k: int) -> DataFrame:
+    """Drop the pairs that cannot be among the k strongest of ``i``, so only the rest is sorted.
+
+    Strengths are counted per item in steps of an eighth of a power of two; the step that holds
+    the k-th strongest is the bar, and every pair from that step on stays.
+    """
+    stepped = pairs.withColumn(
+        "_step", F.when(F.col("_strength") > 0, F.floor(F.log2("_strength") * 8)).otherwise(NO_STEP).cast("int")
+    )
+    above = Window.partitionBy("i").orderBy(F.desc("_step")).rowsBetween(Window.unboundedPreceding, -1)
+    bars = (
+        stepped.groupBy("i", "_step")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_above", F.coalesce(F.sum("_n").over(above), F.lit(0)))
+        .where(F.col("_above") < k)
+        .groupBy("i")
+        .agg(F.min("_step").alias("_bar"))
+    )
+    return stepped.join(bars, "i").where(F.col("_step") >= F.col("_bar")).drop("_step", "_bar")
+
+
 def _class_weights(classes: DataFrame, heavy: list[tuple[int, int]]) -> DataFrame:
     """S between two classes: the b^2 of the heavy users they share. At most 255 x 255 rows."""
     bits = F.explode(
@@ -196,8 +230,8 @@ def item_similarity(
     if heavy:
         weights = {r.user_id: r.q for r in users.where(F.col("user_id").isin(heavy)).collect()}
         pairs = _add_heavy(pairs, rows, [(u, weights[u]) for u in heavy], k)
-    strength = F.col("a_j") * (F.col("s") / F.lit(float(UNIT)))
-    return _best(pairs, ["i"], strength, "j", k).select(
+    strong = pairs.select("i", "j", "a_i", (F.col("a_j") * (F.col("s") / F.lit(float(UNIT)))).alias("_strength"))
+    return _best(_promising(strong, k), ["i"], F.col("_strength"), "j", k).select(
         F.col("i").alias("item_i"),
         F.col("j").alias("item_j"),
         (F.col("a_i") * F.col("_strength")).alias("similarity"),
@@ -205,23 +239,125 @@ def item_similarity(
     )
 
 
-def user_scores(log: DataFrame, sim: DataFrame, hot: HotKeys | None = None) -> DataFrame:
-    """Score of every unseen item for every user: the similarity to the items of the history.
+def _voted(log: DataFrame, sim: DataFrame, hot: HotKeys) -> DataFrame:
+    """Score of every unseen item for every user, by one aggregation over (user, item).
 
-    The history itself joins the same aggregation as a marker, so removing seen items costs no
-    join of its own, and both run map-side first.
+    The history itself joins the aggregation as a marker, so removing seen items costs no join of
+    its own. A user with any length of history is spread over all tasks.
     """
-    hot = hot_keys(log, ["item_id"]) if hot is None else hot
     history = log.select("user_id", "item_id")
     near = sim.select(F.col("item_i").alias("item_id"), "item_j", "similarity")
-    voted = skew_join(history, near, ["item_id"], "inner", hot, ["user_id"]).select(
+    votes = skew_join(history, near, ["item_id"], "inner", hot, ["user_id"]).select(
         "user_id", F.col("item_j").alias("item_id"), F.col("similarity").alias("score"), F.lit(0).alias("seen")
     )
     marks = history.select("user_id", "item_id", F.lit(0.0).alias("score"), F.lit(1).alias("seen"))
     return (
-        voted.unionByName(marks)
+        votes.unionByName(marks)
         .groupBy("user_id", "item_id")
         .agg(F.sum("score").alias("score"), F.max("seen").alias("seen"))
         .where(F.col("seen") == 0)
         .select("user_id", "item_id", "score")
     )
+
+
+def _slices(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Positions start .. start + length - 1 of all slices, one after another."""
+    ends = np.cumsum(lengths)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)
+
+
+def _block_lists(history: pd.DataFrame, near: pd.DataFrame, n: int) -> pd.DataFrame:
+    """Best n unseen items of this block for every user of this block."""
+    found = []
+    near = near.sort_values(["item_i", "item_j"], kind="stable")
+    sources, at = np.unique(near["item_i"].to_numpy(), return_index=True)
+    at = np.append(at, len(near))
+    targets, column = np.unique(near["item_j"].to_numpy(), return_inverse=True)
+    value = near["similarity"].to_numpy()
+    history = history.sort_values(["user_id", "item_id"], kind="stable")
+    user, item = history["user_id"].to_numpy(), history["item_id"].to_numpy()
+    users, first = np.unique(user, return_index=True)
+    first = np.append(first, len(user))
+    width = len(targets)
+    step = max(1, SCORE_CELLS // max(1, width))
+    for low in range(0, len(users) if width else 0, step):
+        some = slice(first[low], first[min(low + step, len(users))])
+        rows = np.searchsorted(users[low : low + step], user[some])
+        height = len(users[low : low + step])
+        source = np.minimum(np.searchsorted(sources, item[some]), len(sources) - 1)
+        length = np.where(sources[source] == item[some], at[source + 1] - at[source], 0)
+        entry = _slices(at[source], length)
+        cell = np.repeat(rows * width, length) + column[entry]
+        score = np.bincount(cell, weights=value[entry], minlength=height * width)
+        known = np.zeros(height * width, dtype=bool)
+        known[cell] = True
+        target = np.minimum(np.searchsorted(targets, item[some]), width - 1)
+        own = targets[target] == item[some]
+        known[(rows * width + target)[own]] = False
+        score = score.reshape(height, width)
+        rank_by = np.where(known.reshape(height, width), np.round(score, SCORE_DIGITS), -np.inf)
+        least = np.partition(rank_by, width - n, axis=1)[:, width - n] if width > n else np.full(height, -np.inf)
+        row, col = np.nonzero((rank_by >= least[:, None]) & np.isfinite(rank_by))
+        best = np.lexsort((col, -rank_by[row, col], row))
+        row, col = row[best], col[best]
+        place = np.arange(len(row)) - np.searchsorted(row, row)
+        row, col = row[place < n], col[place < n]
+        found.append(
+            pd.DataFrame({"user_id": users[low + row], "item_id": targets[col], "score": score[row, col]})
+        )
+    if not found:
+        return pd.DataFrame({"user_id": np.zeros(0, "int64"), "item_id": np.zeros(0, "int64"), "score": np.zeros(0)})
+    return pd.concat(found)
+
+
+def neighbour_lists(
+    log: DataFrame,
+    sim: DataFrame,
+    n: int,
+    hot_items: HotKeys | None = None,
+    heavy_history: int = LONG_HISTORY,
+    log_block: int = LOG_BLOCK,
+    sim_block: int = SIM_BLOCK,
+) -> DataFrame:
+    """Unseen items with the highest summed similarity to the history: (user_id, item_id, score).
+
+    The n best of every user are among the rows; ``sim`` should be a stored table.
+
+    history x similarity is a matrix product with K terms per log row. Sending those terms through a
+    shuffle costs some hundred times the log, so the product is cut into blocks instead: users into
+    blocks of about ``log_block`` log rows, target items into blocks of about ``sim_block``
+    similarities. A log row is sent once per item block, a similarity once per user block, both as
+    plain rows; a task adds up its block in memory and hands on n rows per user. Users with more
+    than ``heavy_history`` items do not fit a block and take the aggregation of ``_voted``.
+    """
+    heavy = hot_keys(log, ["user_id"], heavy_history)
+    history = log.select("user_id", "item_id")
+    light = history.join(heavy.frame(log), "user_id", "left_anti") if heavy else history
+    spark = log.sparkSession
+    tasks = BLOCKS_PER_CORE * spark.sparkContext.defaultParallelism
+    item_blocks = math.ceil(max(1, sim.count()) / sim_block)
+    user_blocks = math.ceil(max(1, light.count()) / log_block)
+    # A small job cuts the items further, until every core has blocks to work on.
+    item_blocks = max(item_blocks, math.ceil(tasks / user_blocks))
+    left = light.select(
+        F.pmod(F.xxhash64("user_id"), F.lit(user_blocks)).cast("int").alias("ub"),
+        F.explode(F.sequence(F.lit(0), F.lit(item_blocks - 1))).alias("ib"),
+        "user_id",
+        "item_id",
+    )
+    right = sim.select(
+        F.explode(F.sequence(F.lit(0), F.lit(user_blocks - 1))).alias("ub"),
+        F.pmod(F.xxhash64("item_j"), F.lit(item_blocks)).cast("int").alias("ib"),
+        "item_i",
+        "item_j",
+        "similarity",
+    )
+    keys = ["ub", "ib"]
+    lists = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
+        lambda h, s: _block_lists(h, s, n), "user_id bigint, item_id bigint, score double"
+    )
+    if not heavy:
+        return lists
+    long = history.join(heavy.frame(log), "user_id", "left_semi")
+    hot_items = hot_keys(long, ["item_id"]) if hot_items is None else hot_items
+    return lists.unionByName(_voted(long, sim, hot_items))

@@ -14,8 +14,6 @@ from reelrank.operators import bm25
 from reelrank.operators.clean import dense_ids, user_watch_counts
 from reelrank.operators.skew import HotKeys, hot_keys, next_in_order, number_rows, skew_join
 
-SCORE_DIGITS = 9
-
 # Fixed values of the next-item recommender.
 SUCCESSORS = 500
 NEXT_ITEM_LIST = 300
@@ -43,7 +41,7 @@ class Budget:
 
 def ordered_top(scores: DataFrame, n: int, out: str = "rank") -> DataFrame:
     """Top n per user by score, ties by the lower item; each task cuts its rows before the shuffle."""
-    order = Window.partitionBy("user_id").orderBy(F.desc(F.round("score", SCORE_DIGITS)), "item_id")
+    order = Window.partitionBy("user_id").orderBy(F.desc(F.round("score", bm25.SCORE_DIGITS)), "item_id")
     return scores.withColumn(out, F.row_number().over(order)).where(F.col(out) <= n)
 
 
@@ -60,8 +58,8 @@ def within_budget(scores: DataFrame, log: DataFrame, budget: Budget) -> DataFram
 def bm25_candidates(
     log: DataFrame, sim: DataFrame, budget: Budget = Budget(), hot: HotKeys | None = None
 ) -> DataFrame:
-    """(user_id, item_id, score, rank) from item neighbours, unseen items only."""
-    return within_budget(bm25.user_scores(log, sim, hot), log, budget)
+    """(user_id, item_id, score, rank) from item neighbours, unseen items only; ``sim`` a stored table."""
+    return within_budget(bm25.neighbour_lists(log, sim, budget.longest, hot), log, budget)
 
 
 def user_history(log: DataFrame, hot: HotKeys | None = None) -> DataFrame:

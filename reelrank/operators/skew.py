@@ -34,6 +34,11 @@ class HotKeys:
     def __bool__(self) -> bool:
         return bool(self.rows)
 
+    def renamed(self, *keys: str) -> HotKeys:
+        """The same list for a table that holds the keys under other names."""
+        names = T.StructType([T.StructField(k, f.dataType) for k, f in zip([*keys, "_n"], self.schema.fields)])
+        return HotKeys(keys, self.rows, names, self.hot_rows)
+
     def frame(self, like: DataFrame) -> DataFrame:
         """The list with the number of pieces each key is cut into; small enough to broadcast."""
         out = like.sparkSession.createDataFrame(list(self.rows), self.schema)
@@ -58,7 +63,8 @@ def skew_join(big: DataFrame, small: DataFrame, keys: list[str], how: str, hot:
     """``big`` joined to ``small`` with the hot keys of ``big`` cut into pieces.
 
     Rows of a hot key go to pieces by a hash of the ``spread`` columns; the matching rows of
-    ``small`` are repeated once per piece. Right for inner, left, left_semi and left_anti.
+    ``small`` are repeated once per piece. Right for inner, left, left_semi and left_anti. The
+    keys of ``hot`` may be some of the join keys only: a join key has no more rows than its part.
     """
     if not hot:
         return big.join(small, keys, how)
@@ -77,14 +83,13 @@ def skew_join(big: DataFrame, small: DataFrame, keys: list[str], how: str, hot:
 def range_pieces(df: DataFrame, keys: list[str], order: str, hot: HotKeys) -> DataFrame:
     """Add ``_piece``: rows of a hot key are cut into PIECES ranges of ``order``, others stay whole.
 
-    The cut points are approximate quantiles, MAX_HOT * (PIECES - 1) numbers at most. Where the
-    cuts fall decides only the size of the pieces, never a result.
+    The cut points are approximate quantiles, PIECES - 1 numbers per hot key. Where the cuts fall
+    decides only the size of the pieces, never a result. The keys of ``hot`` may be some of ``keys``.
     """
     if not hot:
         return df.withColumn("_piece", F.lit(0))
-    heavy = hot.frame(df).select(*keys)
     cuts = (
-        df.join(heavy, keys, "left_semi")
+        df.join(hot.frame(df), list(hot.keys), "left_semi")
         .groupBy(*keys)
         .agg(
             F.percentile_approx(
@@ -101,9 +106,9 @@ def range_pieces(df: DataFrame, keys: list[str], order: str, hot: HotKeys) -> Da
 
 
 def piece_offsets(pieces: DataFrame, keys: list[str], hot: HotKeys, weight: Column) -> DataFrame:
-    """Total ``weight`` in the earlier pieces of the same hot key: at most MAX_HOT * PIECES rows."""
+    """Total ``weight`` in the earlier pieces of the same hot key: at most PIECES rows per hot key."""
     sizes = (
-        pieces.join(hot.frame(pieces).select(*keys), keys, "left_semi")
+        pieces.join(hot.frame(pieces), list(hot.keys), "left_semi")
         .groupBy(*keys, "_piece")
         .agg(F.sum(weight).alias("_size"))
     )
@@ -148,7 +153,7 @@ def next_in_order(
     if hot:
         # The last row of a piece continues with the first row of the next piece of its key.
         firsts = (
-            cut.join(hot.frame(cut).select(key), key, "left_semi")
+            cut.join(hot.frame(cut), key, "left_semi")
             .groupBy(key, "_piece")
             .agg(F.min(F.struct(order, *ties, value)).alias("_first"))
         )

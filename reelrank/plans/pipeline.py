@@ -117,9 +117,11 @@ def features_for(
         prepared.log, history, items, config.trend_window, prepared.hot_items
     )
     keys = rows.select("user_id", "item_id")
+    triples = similarity.beside_history(keys, stage.log, prepared.hot_users)
+    pairs = similarity.needed_pairs(triples)
     stats = [
-        similarity.bm25_similarity_stats(keys, stage.log, stage.similarity, hot_users=prepared.hot_users),
-        similarity.factor_similarity_stats(keys, stage.log, stage.factors, hot_users=prepared.hot_users),
+        similarity.bm25_similarity_stats(triples, pairs, stage.similarity, prepared.hot_items),
+        similarity.factor_similarity_stats(triples, pairs, stage.factors, prepared.hot_items),
     ]
     relative = training.normalised_scores(stage.union, popularity, "als").join(keys, ["user_id", "item_id"], "left_semi")
     return training.candidate_features(relative, materialize(item_features), prepared.texts, stats, "als")
@@ -171,12 +173,12 @@ def scores(
     return ranker.ranker_scores(trained.ranker, table)
 
 
-def recommend(
-    prepared: Prepared, trained: Trained, config: Config = PRODUCTION, users: DataFrame | None = None
+def lists_from(
+    prepared: Prepared, scored: DataFrame, config: Config = PRODUCTION, users: DataFrame | None = None
 ) -> DataFrame:
     """Top lists for all users of the log (or ``users``): ranker where it can serve, else popular items."""
     wanted = prepared.log.select("user_id").distinct() if users is None else users.select("user_id").distinct()
-    ranked = ranker.top_per_user(scores(prepared, trained, config, users), config.top_n)
+    ranked = ranker.top_per_user(scored, config.top_n)
     local = materialize(coldstart.local_top_items(prepared.log, config.weeks_for_local))
     fallback = coldstart.cold_start_local(
         prepared.log, prepared.items, local, wanted, config.top_n, prepared.hot_items
@@ -184,6 +186,12 @@ def recommend(
     return fill_up(ranked, fallback, config.top_n)
 
 
+def recommend(
+    prepared: Prepared, trained: Trained, config: Config = PRODUCTION, users: DataFrame | None = None
+) -> DataFrame:
+    return lists_from(prepared, scores(prepared, trained, config, users), config, users)
+
+
 def recommend_neighbours(
     log: DataFrame,
     items: DataFrame,
@@ -193,7 +201,7 @@ def recommend_neighbours(
 ) -> DataFrame:
     """Top lists from item neighbours alone, filled up with locally popular items."""
     hot_items = hot_keys(log, ["item_id"])
-    sim = bm25.item_similarity(log, neighbours)
+    sim = materialize(bm25.item_similarity(log, neighbours))
     ranked = candidates.bm25_candidates(log, sim, Budget(top_n, top_n, 0), hot_items)
     local = coldstart.local_top_items(log, weeks_for_local)
     fallback = coldstart.cold_start_local(log, items, local, top_n=top_n, hot_items=hot_items)

@@ -13,6 +13,7 @@ from reelrank.functions.text import LATIN, clean_text, int_list
 from reelrank.operators import analysis, bm25, candidates, clean, coldstart, evaluate, features, similarity, splits, training
 from reelrank.operators import ranker as rank
 from reelrank.operators.candidates import Budget
+from reelrank.operators.skew import hot_keys
 from reelrank.plans import pipeline
 from reelrank.plans.oracles import columns
 from reelrank.session import materialize
@@ -66,7 +67,8 @@ def _e(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _p(spark: SparkSession, d: str) -> DataFrame:
-    return clean.dedupe(testdata.purchases_log(spark, d))
+    """Stored: the steps on purchases read the log several times, and it is a join."""
+    return materialize(clean.dedupe(testdata.purchases_log(spark, d)))
 
 
 def _e_items(spark: SparkSession, d: str) -> DataFrame:
@@ -98,7 +100,7 @@ def _roles(spark: SparkSession, d: str) -> DataFrame:
 def _lists(d1: DataFrame, neighbours: int, budget: Budget) -> tuple[DataFrame, DataFrame]:
     """Co-occurrence list and BM25 list; the first stands where the factor model's list would."""
     follow = candidates.successor_candidates(d1, candidates.successor_pairs(d1))
-    near = candidates.bm25_candidates(d1, bm25.item_similarity(d1, neighbours), budget)
+    near = candidates.bm25_candidates(d1, materialize(bm25.item_similarity(d1, neighbours)), budget)
     return follow, near
 
 
@@ -336,7 +338,7 @@ def bm25_item_similarity(spark, d):
 @query
 def bm25_candidates(spark, d):
     log = _p(spark, d)
-    return candidates.bm25_candidates(log, bm25.item_similarity(log), P_BUDGET)
+    return candidates.bm25_candidates(log, materialize(bm25.item_similarity(log)), P_BUDGET)
 
 
 @query
@@ -388,19 +390,28 @@ def candidate_normalised_scores(spark, d):
     return training.normalised_scores(_union(d1), features.item_popularity(d1, _e_items(spark, d)), "cooc")
 
 
+def _union_and_near(d1: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The stored union of both lists and the stored similarity it came from."""
+    sim = materialize(bm25.item_similarity(d1, E_NEIGHBOURS))
+    follow = candidates.successor_candidates(d1, candidates.successor_pairs(d1))
+    near = candidates.bm25_candidates(d1, sim, E_BUDGET)
+    return materialize(candidates.candidate_union(follow, near, "cooc")), sim
+
+
 @query
 def bm25_similarity_stats(spark, d):
     d1 = materialize(_split(_e(spark, d))[0])
-    sim = materialize(bm25.item_similarity(d1, E_NEIGHBOURS))
-    follow = candidates.successor_candidates(d1, candidates.successor_pairs(d1))
-    union = candidates.candidate_union(follow, candidates.bm25_candidates(d1, sim, E_BUDGET), "cooc")
-    return similarity.bm25_similarity_stats(materialize(union), d1, sim)
+    union, sim = _union_and_near(d1)
+    triples = similarity.beside_history(union, d1)
+    return similarity.bm25_similarity_stats(triples, similarity.needed_pairs(triples), sim, hot_keys(d1, ["item_id"]))
 
 
 @query
 def factor_similarity_stats(spark, d):
     d1 = materialize(_split(_e(spark, d))[0])
-    return similarity.factor_similarity_stats(materialize(_union(d1)), d1, testdata.factors(spark, d))
+    triples = similarity.beside_history(materialize(_union(d1)), d1)
+    pairs = similarity.needed_pairs(triples)
+    return similarity.factor_similarity_stats(triples, pairs, testdata.factors(spark, d), hot_keys(d1, ["item_id"]))
 
 
 @query
@@ -408,9 +419,10 @@ def candidate_features(spark, d):
     log = materialize(_e(spark, d))
     d1 = materialize(_split(log)[0])
     items = testdata.items(spark, d, people=True, texts=True)
-    sim = materialize(bm25.item_similarity(d1, E_NEIGHBOURS))
-    follow = candidates.successor_candidates(d1, candidates.successor_pairs(d1))
-    union = materialize(candidates.candidate_union(follow, candidates.bm25_candidates(d1, sim, E_BUDGET), "cooc"))
+    union, sim = _union_and_near(d1)
+    triples = similarity.beside_history(union, d1)
+    pairs = similarity.needed_pairs(triples)
+    hot = hot_keys(log, ["item_id"])
     e_items = _e_items(spark, d)
     texts = training.item_text_features(
         items,
@@ -420,13 +432,14 @@ def candidate_features(spark, d):
     )
     return training.candidate_features(
         training.normalised_scores(union, features.item_popularity(d1, e_items), "cooc"),
-        features.item_feature_table(log, d1, e_items),
+        features.item_feature_table(log, d1, e_items, hot=hot),
         texts,
         [
-            similarity.bm25_similarity_stats(union, d1, sim),
-            similarity.factor_similarity_stats(union, d1, testdata.factors(spark, d)),
+            similarity.bm25_similarity_stats(triples, pairs, sim, hot),
+            similarity.factor_similarity_stats(triples, pairs, testdata.factors(spark, d), hot),
         ],
         "cooc",
+        hot=hot_keys(union, ["item_id"]),
     )
 
 
@@ -453,7 +466,7 @@ def recommendations_bm25(spark, d):
 
 def _ap(spark: SparkSession, d: str) -> DataFrame:
     d1, d2 = _split(_e(spark, d))
-    near = candidates.bm25_candidates(d1, bm25.item_similarity(d1, E_NEIGHBOURS), E_BUDGET)
+    near = candidates.bm25_candidates(d1, materialize(bm25.item_similarity(d1, E_NEIGHBOURS)), E_BUDGET)
     return evaluate.average_precision(near, d2)
 
 
@@ -508,27 +521,40 @@ def _events_dataset(spark: SparkSession, d: str) -> Dataset:
     return Dataset(testdata.events_log(spark, d), items, testdata.staff(spark, d))
 
 
-def _trained(spark: SparkSession, d: str) -> tuple[pipeline.Prepared, pipeline.Trained]:
-    prepared = pipeline.prepare(_events_dataset(spark, d), E_CONFIG)
-    return prepared, pipeline.train(prepared, E_CONFIG)
+# Training is shared by the queries below as long as the session lives; every frame in it is stored.
+_STATE: dict[tuple[str, str], tuple[pipeline.Prepared, pipeline.Trained, DataFrame]] = {}
+
+
+def _trained(spark: SparkSession, d: str) -> tuple[pipeline.Prepared, pipeline.Trained, DataFrame]:
+    """Prepared tables, fitted ranker, and the stored score of every candidate."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _STATE:
+        prepared = pipeline.prepare(_events_dataset(spark, d), E_CONFIG)
+        trained = pipeline.train(prepared, E_CONFIG)
+        _STATE[key] = (prepared, trained, materialize(pipeline.scores(prepared, trained, E_CONFIG)))
+    return _STATE[key]
+
+
+def _recommended(spark: SparkSession, d: str) -> DataFrame:
+    prepared, _, scores = _trained(spark, d)
+    return pipeline.lists_from(prepared, scores, E_CONFIG)
 
 
 @query
 def ranker_scores(spark, d):
-    return pipeline.scores(*_trained(spark, d), E_CONFIG)
+    return _trained(spark, d)[2]
 
 
 @query
 def top20_per_user(spark, d):
-    return rank.top_per_user(pipeline.scores(*_trained(spark, d), E_CONFIG))
+    return rank.top_per_user(_trained(spark, d)[2])
 
 
 @query
 def recommendations(spark, d):
-    return pipeline.recommend(*_trained(spark, d), E_CONFIG)
+    return _recommended(spark, d)
 
 
 @query
 def q_predictions_wide(spark, d):
-    wide = predictions_wide(pipeline.recommend(*_trained(spark, d), E_CONFIG))
-    return wide.withColumn("movies", F.array_join("movies", " "))
+    return predictions_wide(_recommended(spark, d)).withColumn("movies", F.array_join("movies", " "))

@@ -44,7 +44,6 @@ LONG_HISTORY = 100_000
 LOG_BLOCK = 8_000_000
 SIM_BLOCK = 16_000_000
 SCORE_CELLS = 4_000_000
-BLOCKS_PER_CORE = 3
 SCORE_DIGITS = 9
 # Users treated by class; 2^MAX_HEAVY - 1 classes at most, so every table over classes is bounded.
 MAX_HEAVY = 8
@@ -333,12 +332,11 @@ def neighbour_lists(
     heavy = hot_keys(log, ["user_id"], heavy_history)
     history = log.select("user_id", "item_id")
     light = history.join(heavy.frame(log), "user_id", "left_anti") if heavy else history
-    spark = log.sparkSession
-    tasks = BLOCKS_PER_CORE * spark.sparkContext.defaultParallelism
+    cores = log.sparkSession.sparkContext.defaultParallelism
     item_blocks = math.ceil(max(1, sim.count()) / sim_block)
     user_blocks = math.ceil(max(1, light.count()) / log_block)
     # A small job cuts the items further, until every core has blocks to work on.
-    item_blocks = max(item_blocks, math.ceil(tasks / user_blocks))
+    item_blocks = max(item_blocks, math.ceil(cores / user_blocks))
     left = light.select(
         F.pmod(F.xxhash64("user_id"), F.lit(user_blocks)).cast("int").alias("ub"),
         F.explode(F.sequence(F.lit(0), F.lit(item_blocks - 1))).alias("ib"),

@@ -41,7 +41,7 @@ BLOCK = 512
 HEAVY_HISTORY = 4096
 # Blocks of the history x similarity product: log rows, similarities, score cells held at a time.
 LONG_HISTORY = 100_000
-LOG_BLOCK = 8_000_000
+LOG_BLOCK = 16_000_000
 SIM_BLOCK = 16_000_000
 SCORE_CELLS = 4_000_000
 SCORE_DIGITS = 9
@@ -96,7 +96,8 @@ def _emitted_pairs(rows: DataFrame) -> DataFrame:
         F.col("item_id").alias("y"),
         F.col("a").alias("a_y"),
     )
-    pairs = low.join(high, ["user_id", "_lo", "_hi"]).where((F.col("_lo") < F.col("_hi")) | (F.col("x") < F.col("y")))
+    # Both sides are as large as the log; a broadcast of one would only look cheap on a small file.
+    pairs = low.join(high.hint("merge"), ["user_id", "_lo", "_hi"]).where((F.col("_lo") < F.col("_hi")) | (F.col("x") < F.col("y")))
     first = F.col("x") < F.col("y")
     return (
         pairs.select(

@@ -13,6 +13,7 @@ from reelrank.functions.calendar import seconds_of
 from reelrank.operators import bm25
 from reelrank.operators.clean import dense_ids, user_watch_counts
 from reelrank.operators.skew import HotKeys, hot_keys, next_in_order, number_rows, skew_join
+from reelrank.session import materialize
 
 # Fixed values of the next-item recommender.
 SUCCESSORS = 500
@@ -208,32 +209,35 @@ def als_candidates(
 
     The built-in top-N does not know what a user has seen. Users are taken in steps of history
     length and asked for N + step items, which always leaves N unseen ones; users with still
-    longer histories are scored against all items, in blocks.
+    longer histories are scored against all items, in blocks. Numbers stand in for the ids until
+    the lists are cut; they are in the order of the ids, so ties fall the same way.
     """
     model, users, items = fitted
-    n = budget.longest
-    counts = user_watch_counts(log).join(users, "user_id")
-    lists = []
-    low = 0
+    seen = materialize(indexed_log(log, users, items))
+    counts = seen.groupBy("user_idx").agg(F.count(F.lit(1)).alias("n"))
+    proposed, low = [], 0
     for high in ALS_SEEN_STEPS:
-        some = counts.where((F.col("n") > low) & (F.col("n") <= high)).select(F.col("user_idx").cast("int"))
-        got = model.recommendForUserSubset(some, n + high)
-        lists.append(got.select("user_idx", F.explode("recommendations").alias("r")).select("user_idx", "r.item_idx", "r.rating"))
+        some = counts.where((F.col("n") > low) & (F.col("n") <= high)).select("user_idx")
+        got = model.recommendForUserSubset(some, budget.longest + high)
+        proposed.append(got.select("user_idx", F.inline("recommendations")))
         low = high
-    lists.append(_score_all(model, counts.where(F.col("n") > low).select("user_idx")))
-    proposed = lists[0]
-    for more in lists[1:]:
-        proposed = proposed.unionByName(more)
-    scored = (
-        proposed.join(users, "user_idx").join(items, "item_idx")
-        .select("user_id", "item_id", F.col("rating").cast("double").alias("score"), F.lit(0).alias("seen"))
-        .unionByName(log.select("user_id", "item_id", F.lit(None).cast("double").alias("score"), F.lit(1).alias("seen")))
-        .groupBy("user_id", "item_id")
-        .agg(F.max("score").alias("score"), F.max("seen").alias("seen"))
+    proposed.append(_score_all(model, counts.where(F.col("n") > low).select("user_idx")))
+    marked = seen.select("user_idx", "item_idx", F.lit(None).cast("float").alias("rating"), F.lit(1).alias("seen"))
+    for some in proposed:
+        marked = marked.unionByName(some.select("user_idx", "item_idx", "rating", F.lit(0).alias("seen")))
+    unseen = (
+        marked.groupBy("user_idx", "item_idx")
+        .agg(F.max("rating").cast("double").alias("score"), F.max("seen").alias("seen"))
         .where(F.col("seen") == 0)
-        .drop("seen")
+        .select(F.col("user_idx").alias("user_id"), F.col("item_idx").alias("item_id"), "score")
+    )
+    numbers = seen.select(F.col("user_idx").alias("user_id"))
+    lists = materialize(within_budget(unseen, numbers, budget)).withColumnsRenamed(
+        {"user_id": "user_idx", "item_id": "item_idx"}
     )
-    return within_budget(scored, log, budget)
+    # A popular item is on most lists.
+    named = skew_join(lists, items, ["item_idx"], "inner", hot_keys(lists, ["item_idx"]), ["user_idx"])
+    return named.join(users, "user_idx").select("user_id", "item_id", "score", "rank")
 
 
 def _score_all(model: ALSModel, some: DataFrame, blocks: int = 64) -> DataFrame:

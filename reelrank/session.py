@@ -1,8 +1,9 @@
-"""Session settings and reliable checkpoints."""
+"""Session settings and stored intermediate tables."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,14 +40,23 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """Folder every executor can reach: ``spark.checkpoint.dir``; a folder of our own only where unset."""
+    named = spark.conf.get("spark.checkpoint.dir", "")
+    if named:
+        return named.rstrip("/")
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="reelrank-"))
+    return spark.sparkContext.getCheckpointDir()
+
+
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage at a table several later steps read.
+    """Cut lineage at a table several later steps read: write it to the shared folder and scan it.
 
-    Uses the reliable checkpoint folder the cluster names in ``spark.checkpoint.dir``, so the
-    rows outlive the executors that wrote them. Only where that setting is absent (tests) a
-    folder of our own is set.
+    The rows outlive the executors that wrote them. Parquet rather than a row checkpoint, so later
+    steps read only their columns and joins know the size of the table.
     """
     spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", "") and spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="reelrank-checkpoint-"))
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(spark)}/reelrank-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from reelrank.functions.scoring import RATINGS, activation, hamming_trend_weights, implied_rating, percentage
 from reelrank.operators.clean import mean_duration, total_duration
 from reelrank.operators.skew import HotKeys, exact_quantiles, hot_keys, skew_join
+from reelrank.session import materialize
 
 # Fixed value: the quantile of the watch times taken as the length of an item.
 LENGTH_QUANTILE = 0.9
@@ -135,8 +136,9 @@ def item_feature_table(
     ``hot`` holds the hot items of ``all_log``; they cover those of ``history``, a part of it.
     """
     hot = hot_keys(all_log, ["item_id"]) if hot is None else hot
-    durations = item_duration_stats(all_log, items, hot)
-    scores = scored(history, durations, hot)
+    durations = materialize(item_duration_stats(all_log, items, hot))
+    # Three aggregations read the scores; two numbers per log row are cheaper to store than to join again.
+    scores = materialize(scored(history, durations, hot).select("item_id", "score", "rating"))
     return (
         durations.join(item_rating_shares(scores, items), "item_id", "full")
         .join(item_score_stats(scores, items, hot), "item_id", "full")

@@ -66,6 +66,11 @@ def _e(spark: SparkSession, d: str) -> DataFrame:
     return clean.dedupe(testdata.events_log(spark, d))
 
 
+def _stored_e(spark: SparkSession, d: str) -> DataFrame:
+    """For queries that read the log in several branches."""
+    return materialize(_e(spark, d))
+
+
 def _p(spark: SparkSession, d: str) -> DataFrame:
     """Stored: the steps on purchases read the log several times, and it is a join."""
     return materialize(clean.dedupe(testdata.purchases_log(spark, d)))
@@ -76,8 +81,9 @@ def _e_items(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _split(log: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(d1, d2) of a stored log; d1 is stored as well, candidates read it many times."""
     d1, d2 = splits.train_target(log)
-    return d1.drop("week_idx"), d2.drop("week_idx")
+    return materialize(d1.drop("week_idx")), d2.drop("week_idx")
 
 
 def _durations(spark: SparkSession, d: str) -> DataFrame:
@@ -89,8 +95,9 @@ def _scores(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _d1_scores(spark: SparkSession, d: str) -> DataFrame:
-    d1, _ = _split(_e(spark, d))
-    return features.scored(d1, _durations(spark, d))
+    log = _stored_e(spark, d)
+    durations = features.item_duration_stats(log, log.select("item_id").distinct())
+    return materialize(features.scored(_split(log)[0], durations))
 
 
 def _roles(spark: SparkSession, d: str) -> DataFrame:
@@ -109,7 +116,7 @@ def _union(d1: DataFrame, neighbours: int = E_NEIGHBOURS, budget: Budget = E_BUD
 
 
 def _labelled(spark: SparkSession, d: str) -> DataFrame:
-    d1, d2 = _split(_e(spark, d))
+    d1, d2 = _split(_stored_e(spark, d))
     return training.labelled(_union(d1), d2, "cooc")
 
 
@@ -298,8 +305,8 @@ def item_popularity(spark, d):
 
 @query
 def item_feature_table(spark, d):
-    log = _e(spark, d)
-    return features.item_feature_table(log, _split(log)[0], _e_items(spark, d))
+    log = _stored_e(spark, d)
+    return features.item_feature_table(log, _split(log)[0], log.select("item_id").distinct())
 
 
 # Histories and candidates.
@@ -348,13 +355,13 @@ def cooccurrence_pairs(spark, d):
 
 @query
 def cooccurrence_recommend(spark, d):
-    log = _e(spark, d)
+    log = _stored_e(spark, d)
     return candidates.successor_recommendations(candidates.successor_candidates(log, candidates.successor_pairs(log)))
 
 
 @query
 def candidate_union(spark, d):
-    return _union(_split(_e(spark, d))[0])
+    return _union(_split(_stored_e(spark, d))[0])
 
 
 @query
@@ -386,8 +393,10 @@ def ranker_training_set(spark, d):
 
 @query
 def candidate_normalised_scores(spark, d):
-    d1, _ = _split(_e(spark, d))
-    return training.normalised_scores(_union(d1), features.item_popularity(d1, _e_items(spark, d)), "cooc")
+    log = _stored_e(spark, d)
+    d1, _ = _split(log)
+    popularity = features.item_popularity(d1, log.select("item_id").distinct())
+    return training.normalised_scores(materialize(_union(d1)), popularity, "cooc")
 
 
 def _union_and_near(d1: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -400,7 +409,7 @@ def _union_and_near(d1: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 @query
 def bm25_similarity_stats(spark, d):
-    d1 = materialize(_split(_e(spark, d))[0])
+    d1, _ = _split(_stored_e(spark, d))
     union, sim = _union_and_near(d1)
     triples = similarity.beside_history(union, d1)
     return similarity.bm25_similarity_stats(triples, similarity.needed_pairs(triples), sim, hot_keys(d1, ["item_id"]))
@@ -408,7 +417,7 @@ def bm25_similarity_stats(spark, d):
 
 @query
 def factor_similarity_stats(spark, d):
-    d1 = materialize(_split(_e(spark, d))[0])
+    d1, _ = _split(_stored_e(spark, d))
     triples = similarity.beside_history(materialize(_union(d1)), d1)
     pairs = similarity.needed_pairs(triples)
     return similarity.factor_similarity_stats(triples, pairs, testdata.factors(spark, d), hot_keys(d1, ["item_id"]))
@@ -416,14 +425,14 @@ def factor_similarity_stats(spark, d):
 
 @query
 def candidate_features(spark, d):
-    log = materialize(_e(spark, d))
-    d1 = materialize(_split(log)[0])
+    log = _stored_e(spark, d)
+    d1, _ = _split(log)
     items = testdata.items(spark, d, people=True, texts=True)
     union, sim = _union_and_near(d1)
     triples = similarity.beside_history(union, d1)
     pairs = similarity.needed_pairs(triples)
     hot = hot_keys(log, ["item_id"])
-    e_items = _e_items(spark, d)
+    e_items = log.select("item_id").distinct()
     texts = training.item_text_features(
         items,
         clean.staff_text(clean.staff_by_role(items, testdata.staff(spark, d))),
@@ -461,11 +470,11 @@ def cold_start_global(spark, d):
 
 @query
 def recommendations_bm25(spark, d):
-    return pipeline.recommend_neighbours(_e(spark, d), testdata.items(spark, d), E_NEIGHBOURS)
+    return pipeline.recommend_neighbours(_stored_e(spark, d), testdata.items(spark, d), E_NEIGHBOURS)
 
 
 def _ap(spark: SparkSession, d: str) -> DataFrame:
-    d1, d2 = _split(_e(spark, d))
+    d1, d2 = _split(_stored_e(spark, d))
     near = candidates.bm25_candidates(d1, materialize(bm25.item_similarity(d1, E_NEIGHBOURS)), E_BUDGET)
     return evaluate.average_precision(near, d2)
 
@@ -512,7 +521,7 @@ def top_items_weekly_views(spark, d):
 
 @query
 def als_candidates(spark, d):
-    log = materialize(_e(spark, d))
+    log = _stored_e(spark, d)
     return candidates.als_candidates(log, candidates.fit_als(log, max_iter=E_CONFIG.als_iterations), E_BUDGET)
 
 

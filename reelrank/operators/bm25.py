@@ -20,9 +20,11 @@ found once per class.
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -352,6 +354,8 @@ def neighbour_lists(
         "similarity",
     )
     keys = ["ub", "ib"]
+    # The block function travels with the job, so workers need no copy of this package.
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     lists = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
         lambda h, s: _block_lists(h, s, n), "user_id bigint, item_id bigint, score double"
     )

@@ -339,7 +339,7 @@ def bm25_item_weights(spark, d):
 
 @query
 def bm25_item_similarity(spark, d):
-    return bm25.item_similarity(_e(spark, d), E_NEIGHBOURS)
+    return bm25.item_similarity(_stored_e(spark, d), E_NEIGHBOURS)
 
 
 @query
@@ -350,7 +350,7 @@ def bm25_candidates(spark, d):
 
 @query
 def cooccurrence_pairs(spark, d):
-    return candidates.successor_pairs(_e(spark, d))
+    return candidates.successor_pairs(_stored_e(spark, d))
 
 
 @query

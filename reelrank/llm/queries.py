@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelrank.llm import chat, topk
+from reelrank.llm import chat, packing, token_codes, tokens, topk
 from reelrank.llm.frames import sha256_of
+from reelrank.session import shared_folder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,7 +43,34 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def word_tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def byte_tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 4096 tokens."""
+    docs = _table(spark, sf_dir, "documents")
+    return packing.pack_documents(docs, word_tokenizer(), tokens.WORDS, 1, packing.Capacity(tokens=4096))
+
+
+def op10_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents written as token files and read back."""
+    path = f"{shared_folder(spark)}/token-codes-{uuid.uuid4().hex}"
+    token_codes.write(_table(spark, sf_dir, "documents"), path, byte_tokenizer(), tokens.BYTES, 0)
+    return token_codes.read(spark, path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_topk": op4_topk,
     "op8_chat": op8_chat,
+    "op9_packing": op9_packing,
+    "op10_token_codes": op10_token_codes,
 }

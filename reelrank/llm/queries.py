@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelrank.llm import chat, packing, token_codes, tokens, topk
+from reelrank.llm import chat, packing, quality, simhash, token_codes, tokens, topk
 from reelrank.llm.frames import sha256_of
 from reelrank.session import shared_folder
 
@@ -23,13 +23,32 @@ def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors.where(F.col("id") % 50 == 0), vectors, 5)
 
 
-CONTROL_CONVERSATION = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of all documents, learnt from the labels that are not held out."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels")
+    trees = quality.fit(docs, labels.where(~quality.held_out(F.col("doc_id"))))
+    scored = docs.withColumn("score", quality.scorer(trees)(F.col("text")))
+    predicted = (F.col("score") >= quality.ACCEPT).cast("int")
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", predicted.alias("predicted"))
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of all documents."""
+    found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), simhash.WIDTH, simhash.BITS)
+    return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+CONTROL_CONVERSATION = """
+    SELECT -7L AS conv_id, turn, role, '</s>[INST] ok [/INST]' AS text
+    FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)
+"""
 
 
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one of control strings, formatted and read back."""
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    turns = turns.unionByName(spark.createDataFrame(CONTROL_CONVERSATION, "conv_id long, turn long, role string, text string"))
+    turns = turns.unionByName(spark.sql(CONTROL_CONVERSATION))
     made = chat.format_conversations(turns)
     read = made.withColumns({"turns": chat.read_turns(F.col("formatted")), "loss_text": chat.loss_text(F.col("formatted"), F.col("loss"))})
     lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
@@ -70,6 +89,8 @@ def op10_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_topk": op4_topk,
+    "op5_quality": op5_quality,
+    "op6_simhash": op6_simhash,
     "op8_chat": op8_chat,
     "op9_packing": op9_packing,
     "op10_token_codes": op10_token_codes,

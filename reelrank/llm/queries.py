@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelrank.llm import chat, packing, quality, simhash, token_codes, tokens, topk
+from reelrank.llm import chat, packing, pii, quality, simhash, token_codes, tokens, topk
 from reelrank.llm.frames import sha256_of
 from reelrank.session import shared_folder
 
@@ -17,6 +17,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of all documents: base spans, and all spans."""
+    found = pii.personal_data(_table(spark, sf_dir, "documents"))
+    counts = [pii.count_of("base", k).alias(f"n_{name}") for k, name in enumerate(pii.KINDS)]
+    everything = pii.written(F.array_sort(F.concat("base", "added")))
+    return found.select("doc_id", *counts, F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"), everything.alias("spans"))
+
+
 def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 best of all vectors for each vector whose id is divisible by 50."""
     vectors = topk.quantized(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 256)
@@ -88,6 +96,7 @@ def op10_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": op1_pii,
     "op4_topk": op4_topk,
     "op5_quality": op5_quality,
     "op6_simhash": op6_simhash,

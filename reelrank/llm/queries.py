@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelrank.llm import chat, packing, pii, quality, simhash, token_codes, tokens, topk
+from reelrank.llm import chat, decontaminate, packing, pii, quality, secrets, simhash, token_codes, tokens, topk
 from reelrank.llm.frames import sha256_of
 from reelrank.session import shared_folder
 
@@ -25,6 +25,11 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"), everything.alias("spans"))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item that stands in a document, and how far from its words."""
+    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 best of all vectors for each vector whose id is divisible by 50."""
     vectors = topk.quantized(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 256)
@@ -70,6 +75,14 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of all documents: base spans, and all spans."""
+    found = secrets.secrets(_table(spark, sf_dir, "documents"))
+    counts = [secrets.count_of("base", k).alias(f"n_{name}") for k, name in enumerate(secrets.KINDS)]
+    everything = secrets.written(F.array_sort(F.concat("base", "added")))
+    return found.select("doc_id", *counts, F.sha2(secrets.written(F.col("base")), 256).alias("base_sha256"), everything.alias("spans"))
+
+
 def word_tokenizer() -> str:
     import public_tokenizers
 
@@ -97,9 +110,11 @@ def op10_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
+    "op3_decontaminate": op3_decontaminate,
     "op4_topk": op4_topk,
     "op5_quality": op5_quality,
     "op6_simhash": op6_simhash,
+    "op7_secrets": op7_secrets,
     "op8_chat": op8_chat,
     "op9_packing": op9_packing,
     "op10_token_codes": op10_token_codes,

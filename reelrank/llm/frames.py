@@ -22,3 +22,12 @@ def blocks(rows: int, size: int) -> int:
 def sha256_of(parts: Column, separator: str = "") -> Column:
     """Lowercase hex digest of an array of strings, joined."""
     return F.sha2(F.array_join(parts, separator), 256)
+
+
+#: A side of so many values at most is sent to all executors; a larger one is shuffled. The rows are the same.
+SENT = 2_000_000
+
+
+def sent(df: DataFrame, values: int) -> DataFrame:
+    """``df`` marked to be sent to all executors if its measured number of values allows."""
+    return F.broadcast(df) if values <= SENT else df

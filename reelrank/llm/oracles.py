@@ -40,4 +40,32 @@ SELECT conv_id, count(*) AS n_turns,
 FROM marked GROUP BY conv_id
 """
 
-ORACLES = {"op4_topk": OP4, "op8_chat": OP8}
+OP2 = r"""
+WITH split AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) AS line
+  FROM documents
+), worded AS (
+  SELECT doc_id, line, raw, list_filter(regexp_split_to_array(raw, '[ \t\n\x0b\f\r]+'), lambda w: w <> '') AS w FROM split
+), placed AS (
+  SELECT doc_id, line, w, array_to_string(w, ' ') AS s FROM worded WHERE len(w) >= 4
+), firsts AS (
+  SELECT s, any_value(w) AS w, min((doc_id, line)) AS first FROM placed GROUP BY s
+), variants AS (
+  SELECT s, first, i, array_to_string(list_concat(w[:i - 1], w[i + 1:]), ' ') AS v
+  FROM (SELECT s, w, first, unnest(range(1, len(w) + 1)) AS i FROM firsts WHERE len(w) >= 8)
+), near AS (
+  SELECT s FROM (SELECT s, first, min(first) OVER (PARTITION BY v, i) AS keeper FROM variants) WHERE keeper < first
+  UNION
+  SELECT v.s FROM variants v JOIN firsts f ON v.v = f.s WHERE len(f.w) >= 8 AND f.first < v.first
+  UNION
+  SELECT f.s FROM variants v JOIN firsts f ON v.v = f.s WHERE len(f.w) >= 8 AND v.first < f.first
+), gone AS (
+  SELECT p.doc_id, p.line FROM placed p JOIN firsts f ON p.s = f.s
+  WHERE (p.doc_id, p.line) <> f.first OR p.s IN (SELECT s FROM near)
+)
+SELECT d.doc_id, count(*) AS lines, count(g.line) AS dropped_lines,
+       sha256(coalesce(string_agg(d.raw, chr(10) ORDER BY d.line) FILTER (g.line IS NULL), '')) AS text_sha256
+FROM split d LEFT JOIN gone g ON d.doc_id = g.doc_id AND d.line = g.line GROUP BY d.doc_id
+"""
+
+ORACLES = {"op2_line_dedup": OP2, "op4_topk": OP4, "op8_chat": OP8}

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelrank.llm import chat, decontaminate, packing, pii, quality, secrets, simhash, token_codes, tokens, topk
+from reelrank.llm import chat, decontaminate, line_dedup, packing, pii, quality, secrets, simhash, token_codes, tokens, topk
 from reelrank.llm.frames import sha256_of
 from reelrank.session import shared_folder
 
@@ -25,6 +25,12 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"), everything.alias("spans"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines that an earlier line equals or nearly equals."""
+    made = line_dedup.dedupe_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return made.select("doc_id", "lines", "dropped_lines", F.sha2("text", 256).alias("text_sha256"))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item that stands in a document, and how far from its words."""
     return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -110,6 +116,7 @@ def op10_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
+    "op2_line_dedup": op2_line_dedup,
     "op3_decontaminate": op3_decontaminate,
     "op4_topk": op4_topk,
     "op5_quality": op5_quality,

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelrank.llm.components import components
-from reelrank.llm.frames import blocks
+from reelrank.llm.frames import blocks, sent
 from reelrank.session import materialize
 
 SEED = 42
@@ -261,9 +261,20 @@ def near_duplicates(docs: DataFrame, width: int, bits: int) -> DataFrame:
     )
 
 
+def keep_one(docs: DataFrame, width: int, bits: int) -> DataFrame:
+    """``docs`` with the document of smallest id of each component.
+
+    Rows without a doc_id stay; rows that repeat a doc_id stay or go together.
+    """
+    found = near_duplicates(docs, width, bits).where(F.col("doc_id").isNotNull())
+    stays = F.max(F.col("doc_id") == F.col("component_id"))
+    gone = materialize(found.groupBy("doc_id").agg(stays.alias("stays")).where("not stays").select("doc_id"))
+    return docs.join(sent(gone, gone.count()), "doc_id", "left_anti").select(*docs.columns)
+
+
 def hex_digits(fp: Column) -> Column:
     """A signed long as 16 lowercase hex digits."""
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
-__all__ = ["fingerprint", "fingerprints", "hex_digits", "near_duplicates", "search"]
+__all__ = ["fingerprint", "fingerprints", "hex_digits", "keep_one", "near_duplicates", "search"]

@@ -41,7 +41,7 @@ SAMPLE, SUPPORT = 400, 20
 #: Confidence of the compatibility test, and the probability given to what an automaton has never seen.
 ALPHA, UNSEEN = 0.05, 1e-4
 #: Share of held-out credentials that a threshold may miss.
-MISSED = 0.05
+MISSED = 0.01
 
 SPAN = "struct<start:bigint,kind:int,end:bigint>"
 FOUND = f"doc_id long, base array<{SPAN}>, values array<string>, candidates array<struct<start:bigint,end:bigint,value:string>>"

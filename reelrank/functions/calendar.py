@@ -20,14 +20,30 @@ DATETIME_FORMATS = [
     "dd.MM.yyyy",
     "MM/dd/yyyy HH:mm:ss",
     "MM/dd/yyyy",
+    "yyyy/MM/dd HH:mm:ss",
+    "yyyy/MM/dd",
+    "dd-MM-yyyy HH:mm:ss",
+    "dd-MM-yyyy",
+    "MMM d, yyyy HH:mm:ss",
+    "MMM d, yyyy HH:mm",
+    "MMM d, yyyy",
     "yyyyMMdd",
 ]
+# A time of day followed by an offset from UTC.
+OFFSET = r":\d{2}(\.\d+)?\s*(Z|[+-]\d{2}(:?\d{2})?)$"
 
 
 def parse_datetime(text: Column, formats: list[str] = DATETIME_FORMATS) -> Column:
-    """Timestamp from text in one of several layouts; null where none fits."""
+    """Timestamp from text in one of several layouts, in UTC where it has an offset; null where none fits."""
     attempts = [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats]
-    return F.coalesce(text.try_cast("timestamp_ntz"), *attempts)
+    utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), text.try_cast("timestamp").cast("timestamp_ntz"))
+    return F.when(text.rlike(OFFSET), utc).otherwise(F.coalesce(text.try_cast("timestamp_ntz"), *attempts))
+
+
+def read_datetime(text: Column) -> Column:
+    """Timestamp from text; null or blank text gives null, text that no layout fits raises."""
+    unread = F.raise_error(F.concat(F.lit("not a time: "), text)).cast("timestamp_ntz")
+    return F.coalesce(parse_datetime(text), F.when(F.trim(text) != "", unread))
 
 
 def day_part(ts: Column) -> Column:

@@ -41,11 +41,11 @@ UNIT = 100_000_000
 NO_STEP = -100_000
 BLOCK = 512
 HEAVY_HISTORY = 4096
-# Blocks of the history x similarity product: log rows, similarities, score cells held at a time.
-LONG_HISTORY = 100_000
-LOG_BLOCK = 16_000_000
-SIM_BLOCK = 16_000_000
+# Blocks of the history x similarity product: log rows, similarities; score cells and products held at a time.
+LOG_BLOCK = 4_000_000
+SIM_BLOCK = 4_000_000
 SCORE_CELLS = 4_000_000
+PRODUCTS = 2_000_000
 SCORE_DIGITS = 9
 # Users treated by class; 2^MAX_HEAVY - 1 classes at most, so every table over classes is bounded.
 MAX_HEAVY = 8
@@ -77,7 +77,7 @@ def item_weights(log: DataFrame, k1: float = K1, b: float = B) -> DataFrame:
 
 
 def _emitted_pairs(rows: DataFrame) -> DataFrame:
-    """S over the users that emit pairs: (i, j, a_i, a_j, s) for i < j, summed map-side first.
+    """S over the users that emit pairs: (i, j, a_i, a_j, s) for i < j, summed map-side first; the weights ride along.
 
     The items of a user are spread over blocks of about BLOCK; a join key is one pair of blocks.
     """
@@ -109,8 +109,8 @@ def _emitted_pairs(rows: DataFrame) -> DataFrame:
             F.when(first, F.col("a_y")).otherwise(F.col("a_x")).alias("a_j"),
             "q",
         )
-        .groupBy("i", "j", "a_i", "a_j")
-        .agg(F.sum("q").alias("s"))
+        .groupBy("i", "j")
+        .agg(F.max("a_i").alias("a_i"), F.max("a_j").alias("a_j"), F.sum("q").alias("s"))
     )
 
 
@@ -199,7 +199,8 @@ def _add_heavy(pairs: DataFrame, rows: DataFrame, heavy: list[tuple[int, int]],
     through_heavy = classes.join(F.broadcast(per_class), "class").select(
         F.col("item_id").alias("i"), "j", F.col("a").alias("a_i"), "a_j", F.lit(0).cast("bigint").alias("s")
     )
-    merged = pairs.unionByName(through_heavy).groupBy("i", "j", "a_i", "a_j").agg(F.sum("s").alias("s"))
+    weighted = [F.max("a_i").alias("a_i"), F.max("a_j").alias("a_j"), F.sum("s").alias("s")]
+    merged = pairs.unionByName(through_heavy).groupBy("i", "j").agg(*weighted)
     class_i = classes.select(F.col("item_id").alias("i"), "class")
     class_j = classes.select(F.col("item_id").alias("j"), F.col("class").alias("class_2"))
     return (
@@ -210,6 +211,13 @@ def _add_heavy(pairs: DataFrame, rows: DataFrame, heavy: list[tuple[int, int]],
     )
 
 
+def _heaviest(hot_users: HotKeys) -> list[int]:
+    """At most MAX_HEAVY users."""
+    if not hot_users:
+        return []
+    return [r[0] for r in hot_users.table.orderBy(F.desc("_n"), "user_id").limit(MAX_HEAVY).collect()]
+
+
 def item_similarity(
     log: DataFrame,
     k: int = NEIGHBOURS,
@@ -223,7 +231,7 @@ def item_similarity(
     with_user = skew_join(log.select("user_id", "item_id"), users, ["user_id"], "inner", hot_users, ["item_id"])
     rows = skew_join(with_user, _item_side(log, k1, b), ["item_id"], "inner", hot_keys(log, ["item_id"]), ["user_id"])
 
-    heavy = [r[0] for r in hot_users.rows[:MAX_HEAVY]]
+    heavy = _heaviest(hot_users)
     emitting = rows.where(~F.col("user_id").isin(heavy)) if heavy else rows
     own = emitting.groupBy("item_id", "a").agg(F.sum("q").alias("s")).select(
         F.col("item_id").alias("i"), F.col("item_id").alias("j"), F.col("a").alias("a_i"), F.col("a").alias("a_j"), "s"
@@ -241,27 +249,6 @@ def item_similarity(
     )
 
 
-def _voted(log: DataFrame, sim: DataFrame, hot: HotKeys) -> DataFrame:
-    """Score of every unseen item for every user, by one aggregation over (user, item).
-
-    The history itself joins the aggregation as a marker, so removing seen items costs no join of
-    its own. A user with any length of history is spread over all tasks.
-    """
-    history = log.select("user_id", "item_id")
-    near = sim.select(F.col("item_i").alias("item_id"), "item_j", "similarity")
-    votes = skew_join(history, near, ["item_id"], "inner", hot, ["user_id"]).select(
-        "user_id", F.col("item_j").alias("item_id"), F.col("similarity").alias("score"), F.lit(0).alias("seen")
-    )
-    marks = history.select("user_id", "item_id", F.lit(0.0).alias("score"), F.lit(1).alias("seen"))
-    return (
-        votes.unionByName(marks)
-        .groupBy("user_id", "item_id")
-        .agg(F.sum("score").alias("score"), F.max("seen").alias("seen"))
-        .where(F.col("seen") == 0)
-        .select("user_id", "item_id", "score")
-    )
-
-
 def _slices(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Positions start .. start + length - 1 of all slices, one after another."""
     ends = np.cumsum(lengths)
@@ -288,11 +275,17 @@ def _block_lists(history: pd.DataFrame, near: pd.DataFrame, n: int) -> pd.DataFr
         height = len(users[low : low + step])
         source = np.minimum(np.searchsorted(sources, item[some]), len(sources) - 1)
         length = np.where(sources[source] == item[some], at[source + 1] - at[source], 0)
-        entry = _slices(at[source], length)
-        cell = np.repeat(rows * width, length) + column[entry]
-        score = np.bincount(cell, weights=value[entry], minlength=height * width)
+        score = np.zeros(height * width)
         known = np.zeros(height * width, dtype=bool)
-        known[cell] = True
+        # Added up slice by slice, also inside one user, so memory does not follow the histories.
+        upto = np.cumsum(length)
+        cuts = np.searchsorted(upto, np.arange(0, upto[-1] if len(upto) else 0, PRODUCTS), side="left")
+        for begin, end in zip(cuts, [*cuts[1:], len(length)]):
+            part = slice(begin, end)
+            entry = _slices(at[source[part]], length[part])
+            cell = np.repeat(rows[part] * width, length[part]) + column[entry]
+            np.add.at(score, cell, value[entry])
+            known[cell] = True
         target = np.minimum(np.searchsorted(targets, item[some]), width - 1)
         own = targets[target] == item[some]
         known[(rows * width + target)[own]] = False
@@ -313,13 +306,7 @@ def _block_lists(history: pd.DataFrame, near: pd.DataFrame, n: int) -> pd.DataFr
 
 
 def neighbour_lists(
-    log: DataFrame,
-    sim: DataFrame,
-    n: int,
-    hot_items: HotKeys | None = None,
-    heavy_history: int = LONG_HISTORY,
-    log_block: int = LOG_BLOCK,
-    sim_block: int = SIM_BLOCK,
+    log: DataFrame, sim: DataFrame, n: int, log_block: int = LOG_BLOCK, sim_block: int = SIM_BLOCK
 ) -> DataFrame:
     """Unseen items with the highest summed similarity to the history: (user_id, item_id, score).
 
@@ -329,18 +316,16 @@ def neighbour_lists(
     shuffle costs some hundred times the log, so the product is cut into blocks instead: users into
     blocks of about ``log_block`` log rows, target items into blocks of about ``sim_block``
     similarities. A log row is sent once per item block, a similarity once per user block, both as
-    plain rows; a task adds up its block in memory and hands on n rows per user. Users with more
-    than ``heavy_history`` items do not fit a block and take the aggregation of ``_voted``.
+    plain rows; a task adds up its block in memory and hands on n rows per user. A user's history has
+    at most one row per item, and its products are added in slices of bounded size.
     """
-    heavy = hot_keys(log, ["user_id"], heavy_history)
     history = log.select("user_id", "item_id")
-    light = history.join(heavy.frame(log), "user_id", "left_anti") if heavy else history
     cores = log.sparkSession.sparkContext.defaultParallelism
     item_blocks = math.ceil(max(1, sim.count()) / sim_block)
-    user_blocks = math.ceil(max(1, light.count()) / log_block)
+    user_blocks = math.ceil(max(1, history.count()) / log_block)
     # A small job cuts the items further, until every core has blocks to work on.
     item_blocks = max(item_blocks, math.ceil(cores / user_blocks))
-    left = light.select(
+    left = history.select(
         F.pmod(F.xxhash64("user_id"), F.lit(user_blocks)).cast("int").alias("ub"),
         F.explode(F.sequence(F.lit(0), F.lit(item_blocks - 1))).alias("ib"),
         "user_id",
@@ -356,11 +341,6 @@ def neighbour_lists(
     keys = ["ub", "ib"]
     # The block function travels with the job, so workers need no copy of this package.
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    lists = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
         lambda h, s: _block_lists(h, s, n), "user_id bigint, item_id bigint, score double"
     )
-    if not heavy:
-        return lists
-    long = history.join(heavy.frame(log), "user_id", "left_semi")
-    hot_items = hot_keys(long, ["item_id"]) if hot_items is None else hot_items
-    return lists.unionByName(_voted(long, sim, hot_items))

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import math
+import sys
+from collections.abc import Callable
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -23,8 +29,11 @@ FALLBACK_ITEMS = 6
 ALS_RANK = 20
 ALS_ALPHA = 13.0
 ALS_SEED = 42
-# Seen-count limits up to which the built-in top-N is asked for N + limit items.
-ALS_SEEN_STEPS = [64, 256, 1024]
+# Log rows per block of the fit; log rows and items per block of the scoring, score cells held at a time.
+ALS_BLOCK_ROWS = 2_000_000
+USER_BLOCK_ROWS = 4_000_000
+ITEM_BLOCK = 100_000
+SCORE_CELLS = 4_000_000
 
 
 @dataclass(frozen=True)
@@ -56,11 +65,9 @@ def within_budget(scores: DataFrame, log: DataFrame, budget: Budget) -> DataFram
     return top.join(user_watch_counts(log), "user_id").where(F.col("rank") <= allowed).drop("n")
 
 
-def bm25_candidates(
-    log: DataFrame, sim: DataFrame, budget: Budget = Budget(), hot: HotKeys | None = None
-) -> DataFrame:
+def bm25_candidates(log: DataFrame, sim: DataFrame, budget: Budget = Budget()) -> DataFrame:
     """(user_id, item_id, score, rank) from item neighbours, unseen items only; ``sim`` a stored table."""
-    return within_budget(bm25.neighbour_lists(log, sim, budget.longest, hot), log, budget)
+    return within_budget(bm25.neighbour_lists(log, sim, budget.longest), log, budget)
 
 
 def user_history(log: DataFrame, hot: HotKeys | None = None) -> DataFrame:
@@ -157,7 +164,7 @@ def fit_als(
     seed: int = ALS_SEED,
     max_iter: int = 15,
     reg_param: float = 0.01,
-    blocks: int = 10,
+    block_rows: int = ALS_BLOCK_ROWS,
 ) -> tuple[ALSModel, DataFrame, DataFrame]:
     """Implicit ALS (Hu, Koren & Volinsky 2008) on the deduplicated log.
 
@@ -165,7 +172,9 @@ def fit_als(
     """
     users = dense_ids(log, "user_id", "user_idx")
     items = dense_ids(log, "item_id", "item_idx")
-    indexed = indexed_log(log, users, items)
+    indexed = materialize(indexed_log(log, users, items))
+    # As many blocks as the log asks for, and one for every core at least.
+    blocks = max(log.sparkSession.sparkContext.defaultParallelism, math.ceil(indexed.count() / block_rows))
     als = ALS(
         userCol="user_idx",
         itemCol="item_idx",
@@ -202,35 +211,87 @@ def als_factors(model: ALSModel, items: DataFrame) -> DataFrame:
     )
 
 
+def _best_unseen(n: int) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
+    """Best n unseen items of one block of items for every user of one block of users."""
+
+    def block(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        right = right.sort_values("item_idx", ignore_index=True)
+        items = right["item_idx"].to_numpy()
+        users = left[left["item_idx"].isna()].sort_values("user_idx", ignore_index=True)
+        seen = left[left["item_idx"].notna()].sort_values("user_idx")
+        ids, seen_by = users["user_idx"].to_numpy(), seen["user_idx"].to_numpy()
+        width, found = len(items), []
+        empty = pd.DataFrame({"user_idx": np.zeros(0, "int32"), "item_idx": np.zeros(0, "int32"), "score": np.zeros(0)})
+        if not width or not len(ids):
+            return empty
+        vectors = np.stack(right["f"].to_numpy()).astype(float).T
+        place = np.searchsorted(items, seen["item_idx"].to_numpy())
+        step = max(1, SCORE_CELLS // width)
+        for low in range(0, len(ids), step):
+            own = ids[low : low + step]
+            score = np.stack(users["f"].to_numpy()[low : low + step]).astype(float) @ vectors
+            some = slice(*np.searchsorted(seen_by, [own[0], own[-1] + 1]))
+            by = np.round(score, bm25.SCORE_DIGITS)
+            by[np.searchsorted(own, seen_by[some]), place[some]] = -np.inf
+            # Everything down to the n-th stays; the window that cuts the lists settles ties by item.
+            least = np.partition(by, width - n, axis=1)[:, width - n] if width > n else np.full(len(own), -np.inf)
+            row, col = np.nonzero((by >= least[:, None]) & np.isfinite(by))
+            order = np.lexsort((col, -by[row, col], row))
+            row, col = row[order], col[order]
+            kept = np.arange(len(row)) - np.searchsorted(row, row) < n
+            row, col = row[kept], col[kept]
+            found.append(pd.DataFrame({"user_idx": own[row], "item_idx": items[col], "score": by[row, col]}))
+        return pd.concat([empty, *found])
+
+    return block
+
+
 def als_candidates(
-    log: DataFrame, fitted: tuple[ALSModel, DataFrame, DataFrame], budget: Budget = Budget()
+    log: DataFrame,
+    fitted: tuple[ALSModel, DataFrame, DataFrame],
+    budget: Budget = Budget(),
+    user_block_rows: int = USER_BLOCK_ROWS,
+    item_block: int = ITEM_BLOCK,
 ) -> DataFrame:
     """(user_id, item_id, score, rank) from the factor model, unseen items only.
 
-    The built-in top-N does not know what a user has seen. Users are taken in steps of history
-    length and asked for N + step items, which always leaves N unseen ones; users with still
-    longer histories are scored against all items, in blocks. Numbers stand in for the ids until
-    the lists are cut; they are in the order of the ids, so ties fall the same way.
+    A blocked matrix product: users in blocks of about ``user_block_rows`` log rows, items in blocks of
+    about ``item_block``. What a user has seen goes to the block of the item and is struck out there, so only
+    the best N per user and block leave a task, for any length of history. Numbers stand in for the ids
+    until the lists are cut; they are in the order of the ids, so ties fall the same way.
     """
     model, users, items = fitted
     seen = materialize(indexed_log(log, users, items))
-    counts = seen.groupBy("user_idx").agg(F.count(F.lit(1)).alias("n"))
-    proposed, low = [], 0
-    for high in ALS_SEEN_STEPS:
-        some = counts.where((F.col("n") > low) & (F.col("n") <= high)).select("user_idx")
-        got = model.recommendForUserSubset(some, budget.longest + high)
-        proposed.append(got.select("user_idx", F.inline("recommendations")))
-        low = high
-    proposed.append(_score_all(model, counts.where(F.col("n") > low).select("user_idx")))
-    marked = seen.select("user_idx", "item_idx", F.lit(None).cast("float").alias("rating"), F.lit(1).alias("seen"))
-    for some in proposed:
-        marked = marked.unionByName(some.select("user_idx", "item_idx", "rating", F.lit(0).alias("seen")))
-    unseen = (
-        marked.groupBy("user_idx", "item_idx")
-        .agg(F.max("rating").cast("double").alias("score"), F.max("seen").alias("seen"))
-        .where(F.col("seen") == 0)
-        .select(F.col("user_idx").alias("user_id"), F.col("item_idx").alias("item_id"), "score")
+    across = max(1, math.ceil(seen.count() / user_block_rows))
+    down = max(1, math.ceil(items.count() / item_block))
+    # A small job cuts the items further, until every core has a block to work on.
+    down = max(down, math.ceil(log.sparkSession.sparkContext.defaultParallelism / across))
+
+    def block(column: str, n: int) -> Column:
+        return F.pmod(F.xxhash64(F.col(column).cast("int")), F.lit(n)).cast("int")
+
+    known = model.userFactors.select(F.col("id").alias("user_idx"), F.col("features").alias("f"))
+    asked = known.select(
+        block("user_idx", across).alias("ub"),
+        F.explode(F.sequence(F.lit(0), F.lit(down - 1))).alias("ib"),
+        "user_idx",
+        F.lit(None).cast("int").alias("item_idx"),
+        "f",
     )
+    struck = seen.select(
+        block("user_idx", across).alias("ub"), block("item_idx", down).alias("ib"), "user_idx", "item_idx",
+        F.lit(None).cast("array<float>").alias("f"),
+    )
+    offered = model.itemFactors.select(
+        F.explode(F.sequence(F.lit(0), F.lit(across - 1))).alias("ub"),
+        block("id", down).alias("ib"),
+        F.col("id").alias("item_idx"),
+        F.col("features").alias("f"),
+    )
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    found = asked.unionByName(struck).groupBy("ub", "ib").cogroup(offered.groupBy("ub", "ib"))
+    unseen = found.applyInPandas(_best_unseen(budget.longest), "user_idx int, item_idx int, score double")
+    unseen = unseen.withColumnsRenamed({"user_idx": "user_id", "item_idx": "item_id"})
     numbers = seen.select(F.col("user_idx").alias("user_id"))
     lists = materialize(within_budget(unseen, numbers, budget)).withColumnsRenamed(
         {"user_id": "user_idx", "item_id": "item_idx"}
@@ -240,22 +301,6 @@ def als_candidates(
     return named.join(users, "user_idx").select("user_id", "item_id", "score", "rank")
 
 
-def _score_all(model: ALSModel, some: DataFrame, blocks: int = 64) -> DataFrame:
-    """Scores of all items for the given users, items in ``blocks`` so a user is spread over tasks."""
-    left = (
-        model.userFactors.join(some, F.col("id") == F.col("user_idx"), "left_semi")
-        .select(F.col("id").alias("user_idx"), F.col("features").alias("f"))
-        .withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    )
-    right = model.itemFactors.select(
-        F.col("id").alias("item_idx"),
-        F.col("features").alias("g"),
-        F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("_block"),
-    )
-    product = F.aggregate(F.zip_with("f", "g", lambda x, y: x * y), F.lit(0.0).cast("float"), lambda acc, x: acc + x)
-    return left.join(right, "_block").select("user_idx", "item_idx", product.alias("rating"))
-
-
 def candidate_union(first: DataFrame, second: DataFrame, first_name: str, second_name: str = "nn") -> DataFrame:
     """Both lists side by side: score and reciprocal rank of each, null where a list lacks the item.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelrank.functions.calendar import calendar_columns, parse_datetime
+from reelrank.functions.calendar import calendar_columns, read_datetime
 from reelrank.functions.text import ids_text, int_list, raw_list, without
 from reelrank.operators.skew import HotKeys, hot_keys, number_all, skew_join
 
@@ -24,14 +24,22 @@ def mean_duration(column: str = "duration") -> Column:
     return F.try_divide(F.round(F.sum(column), DURATION_DIGITS), F.count(column))
 
 
+def _whole_id(column: str) -> Column:
+    missing = F.raise_error(F.lit(f"a row of the log has no {column}")).cast("bigint")
+    return F.coalesce(F.col(column).cast("bigint"), missing).alias(column)
+
+
 def typed_log(log: DataFrame) -> DataFrame:
-    """Ids as bigint (a bad id raises), time from text where it is text, duration as double."""
+    """Ids as bigint, time from text where it is text, duration as double.
+
+    A missing or bad id raises, and so does a time that no layout fits: such a row would be lost without a word.
+    """
     ts = F.col("ts")
     if dict(log.dtypes)["ts"] == "string":
-        ts = parse_datetime(ts)
+        ts = read_datetime(ts)
     return log.select(
-        F.col("user_id").cast("bigint").alias("user_id"),
-        F.col("item_id").cast("bigint").alias("item_id"),
+        _whole_id("user_id"),
+        _whole_id("item_id"),
         ts.cast("timestamp_ntz").alias("ts"),
         F.col("duration").cast("double").alias("duration"),
     )
@@ -52,10 +60,6 @@ def dedupe(log: DataFrame) -> DataFrame:
     )
 
 
-def distinct_items(log: DataFrame) -> DataFrame:
-    return log.select("item_id").distinct()
-
-
 def item_views(log: DataFrame, items: DataFrame) -> DataFrame:
     """Distinct viewers of every catalogue item, 0 where nobody watched."""
     views = log.groupBy("item_id").agg(F.countDistinct("user_id").alias("views"))

@@ -1,9 +1,8 @@
 """Joins, numberings and quantiles that hold when one key owns a third of all rows.
 
-A *hot* key is one with more than ``hot_rows`` rows. Only the ``MAX_HOT`` heaviest are kept, so
-the list has a fixed size bound whatever the data; by counting, every key beyond it holds less
-than 1/MAX_HOT of the table and fits a task. Nothing is dropped: a key that is not listed just
-takes the ordinary path, and both paths give the same rows.
+A *hot* key is one with more than ``hot_rows`` rows. All of them are kept, as a table: by counting it has at
+most rows / hot_rows entries. A hot key is cut into pieces of about ``hot_rows`` rows. Nothing is dropped:
+a key that is not hot just takes the ordinary path, and both paths give the same rows.
 """
 
 from __future__ import annotations
@@ -13,50 +12,44 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from reelrank.session import materialize
+
 HOT_ROWS = 1_000_000
-MAX_HOT = 4096
-PIECES = 64
 QUANTILE_ACCURACY = 10_000
 
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Heaviest keys of a table: ``rows`` holds at most MAX_HOT tuples (key..., n)."""
+    """The hot keys of a table: ``table`` (key..., _n) or None where there are none; ``largest`` of the _n."""
 
     keys: tuple[str, ...]
-    rows: tuple[tuple, ...]
-    schema: T.StructType
+    table: DataFrame | None
     hot_rows: int
+    largest: int = 0
 
     def __bool__(self) -> bool:
-        return bool(self.rows)
+        return self.table is not None
 
     def renamed(self, *keys: str) -> HotKeys:
-        """The same list for a table that holds the keys under other names."""
-        names = T.StructType([T.StructField(k, f.dataType) for k, f in zip([*keys, "_n"], self.schema.fields)])
-        return HotKeys(keys, self.rows, names, self.hot_rows)
+        """The same keys for a table that holds them under other names."""
+        table = self.table and self.table.toDF(*keys, "_n")
+        return HotKeys(keys, table, self.hot_rows, self.largest)
 
-    def frame(self, like: DataFrame) -> DataFrame:
-        """The list with the number of pieces each key is cut into; small enough to broadcast."""
-        out = like.sparkSession.createDataFrame(list(self.rows), self.schema)
+    def frame(self) -> DataFrame:
+        """The keys with the number of pieces each is cut into."""
         pieces = F.ceil(F.col("_n") / self.hot_rows).cast("int") + 1
-        return F.broadcast(out.select(*self.keys, pieces.alias("_pieces")))
+        return self.table.select(*self.keys, pieces.alias("_pieces"))
 
 
 def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> HotKeys:
-    """Measure the hot keys of ``df``: one map-side combined count, at most MAX_HOT rows fetched."""
-    found = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > hot_rows)
-        .orderBy(F.desc("_n"), *keys)
-        .limit(MAX_HOT)
-    )
-    rows = tuple(tuple(r) for r in found.collect())
-    return HotKeys(tuple(keys), rows, found.schema, hot_rows)
+    """Measure the hot keys of ``df``: one map-side combined count, one number fetched."""
+    found = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
+    largest = found.agg(F.max("_n")).first()[0]
+    if largest is None:
+        return HotKeys(tuple(keys), None, hot_rows)
+    return HotKeys(tuple(keys), materialize(found), hot_rows, largest)
 
 
 def skew_join(big: DataFrame, small: DataFrame, keys: list[str], how: str, hot: HotKeys, spread: list[str]) -> DataFrame:
@@ -68,7 +61,7 @@ def skew_join(big: DataFrame, small: DataFrame, keys: list[str], how: str, hot:
     """
     if not hot:
         return big.join(small, keys, how)
-    pieces = hot.frame(big)
+    pieces = hot.frame()
     on = list(hot.keys)
     left = big.join(pieces, on, "left").withColumn(
         "_piece",
@@ -81,34 +74,36 @@ def skew_join(big: DataFrame, small: DataFrame, keys: list[str], how: str, hot:
 
 
 def range_pieces(df: DataFrame, keys: list[str], order: str, hot: HotKeys) -> DataFrame:
-    """Add ``_piece``: rows of a hot key are cut into PIECES ranges of ``order``, others stay whole.
+    """Add ``_piece``: rows of a hot key are cut into ranges of ``order``, as many as its rows ask for.
 
-    The cut points are approximate quantiles, PIECES - 1 numbers per hot key. Where the cuts fall
-    decides only the size of the pieces, never a result. The keys of ``hot`` may be some of ``keys``.
+    The cut points are approximate quantiles. Where the cuts fall decides only the size of the pieces, never
+    a result. The keys of ``hot`` may be some of ``keys``.
     """
     if not hot:
         return df.withColumn("_piece", F.lit(0))
+    most = min(math.ceil(hot.largest / hot.hot_rows) + 1, QUANTILE_ACCURACY)
+    grid = [i / most for i in range(1, most)]
     cuts = (
-        df.join(hot.frame(df), list(hot.keys), "left_semi")
-        .groupBy(*keys)
-        .agg(
-            F.percentile_approx(
-                order, [i / PIECES for i in range(1, PIECES)], F.lit(QUANTILE_ACCURACY)
-            ).alias("_cuts")
+        df.join(hot.frame(), list(hot.keys), "inner")
+        .groupBy(*keys, "_pieces")
+        .agg(F.percentile_approx(order, grid, F.lit(QUANTILE_ACCURACY)).alias("_grid"))
+        .select(
+            *keys,
+            F.expr(f"transform(sequence(1, _pieces - 1), i -> _grid[greatest(0, least({most} - 2, cast(i * {most} / _pieces as int) - 1))])").alias("_cuts"),
         )
     )
     piece = F.size(F.filter("_cuts", lambda c: c < F.col(order)))
     return (
-        df.join(F.broadcast(cuts), keys, "left")
+        df.join(cuts, keys, "left")
         .withColumn("_piece", F.when(F.col("_cuts").isNull(), 0).otherwise(piece))
         .drop("_cuts")
     )
 
 
 def piece_offsets(pieces: DataFrame, keys: list[str], hot: HotKeys, weight: Column) -> DataFrame:
-    """Total ``weight`` in the earlier pieces of the same hot key: at most PIECES rows per hot key."""
+    """Total ``weight`` in the earlier pieces of the same hot key: a row per piece of a hot key."""
     sizes = (
-        pieces.join(hot.frame(pieces), list(hot.keys), "left_semi")
+        pieces.join(hot.frame(), list(hot.keys), "left_semi")
         .groupBy(*keys, "_piece")
         .agg(F.sum(weight).alias("_size"))
     )
@@ -129,7 +124,7 @@ def number_rows(
     within = Window.partitionBy(*keys, "_piece").orderBy(order, *ties)
     numbered = cut.withColumn(out, F.row_number().over(within).cast("bigint"))
     if hot:
-        offsets = F.broadcast(piece_offsets(cut, keys, hot, F.lit(1)))
+        offsets = piece_offsets(cut, keys, hot, F.lit(1))
         numbered = numbered.join(offsets, [*keys, "_piece"], "left").withColumn(
             out, F.col(out) + F.coalesce("_offset", F.lit(0))
         )
@@ -153,13 +148,13 @@ def next_in_order(
     if hot:
         # The last row of a piece continues with the first row of the next piece of its key.
         firsts = (
-            cut.join(hot.frame(cut), key, "left_semi")
+            cut.join(hot.frame(), key, "left_semi")
             .groupBy(key, "_piece")
             .agg(F.min(F.struct(order, *ties, value)).alias("_first"))
         )
         later = Window.partitionBy(key).orderBy("_piece")
         firsts = firsts.select(key, "_piece", F.lead(f"_first.{value}").over(later).alias("_next"))
-        stepped = stepped.join(F.broadcast(firsts), [key, "_piece"], "left").withColumn(out, F.coalesce(out, "_next"))
+        stepped = stepped.join(firsts, [key, "_piece"], "left").withColumn(out, F.coalesce(out, "_next"))
     return stepped.select(*df.columns, out)
 
 
@@ -179,7 +174,7 @@ def exact_quantiles(
     running = Window.partitionBy(key, "_piece").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     ranked = counted.withColumn("_upto", F.sum("_c").over(running))
     if hot:
-        offsets = F.broadcast(piece_offsets(counted, [key], hot, F.col("_c")))
+        offsets = piece_offsets(counted, [key], hot, F.col("_c"))
         ranked = ranked.join(offsets, [key, "_piece"], "left").withColumn(
             "_upto", F.col("_upto") + F.coalesce("_offset", F.lit(0))
         )

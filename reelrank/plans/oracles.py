@@ -51,6 +51,7 @@ COLUMNS = {
     "bm25_item_weights": "user_id i, item_id i, weight d",
     "bm25_item_similarity": "item_i i, item_j i, similarity d, rank i",
     "bm25_candidates": "user_id i, item_id i, score d, rank i",
+    "bm25_candidates_by_history": "user_id i, item_id i, score d, rank i",
     "cooccurrence_pairs": "item_id i, next_item i, n i, rank i",
     "cooccurrence_recommend": "user_id i, item_id i, cooc_score_0 d, cooc_rank_0 i",
     "candidate_union": "user_id i, item_id i, cooc_score d, cooc_rank d, nn_score d, nn_rank d",
@@ -76,7 +77,7 @@ COLUMNS = {
     "recommendations_bm25": "user_id i, rank i, item_id i, source s",
     "average_precision_at_k": "user_id i, ap d",
     "map_at_k": "map d, n_users i",
-    "candidate_recall_by_history": "history_len i, hits i, targets i, recall d",
+    "candidate_recall_by_history": "budget s, history_len i, hits i, targets i, recall d",
     "weekly_interactions": "week_number i, n i",
     "users_by_min_history": "min_views i, n_users i",
     "watch_share_histogram": "bin s, n i",
@@ -210,7 +211,7 @@ CTES: dict[str, str] = {
     # BM25: prefix, log, neighbours, list length
     **{
         f"{prefix}_{name}": sql.format(p=prefix, log=log, k=k, n=n)
-        for prefix, log, k, n in [("be", "e", 20, 20), ("bd", "e_d1", 20, 20), ("bp", "p", 210, 100), ("bq", "p_d1", 210, 100)]
+        for prefix, log, k, n in [("be", "e", 20, 20), ("bd", "e_d1", 20, 20), ("bp", "p", 210, 100), ("bq", "p_d1", 210, 100), ("br", "p_d1", 210, 900)]
         for name, sql in {
             "items": """SELECT item_id, 2.1e0 / (1.1e0 * (0.6e0 + 0.4e0 * n_i / (avg(n_i) OVER ())) + 1) AS a
                 FROM (SELECT item_id, count(*) AS n_i FROM {log} GROUP BY 1)""",
@@ -323,13 +324,13 @@ ORACLES: dict[str, str] = {
     "dense_item_ids": """SELECT item_id, row_number() OVER (ORDER BY item_id) - 1 AS dense_id
         FROM (SELECT DISTINCT item_id FROM p JOIN i USING (item_id))""",
     "interactions_dedup": f"SELECT user_id, item_id, ts, duration, {CALENDAR} FROM e",
-    "interactions_known_items": "SELECT user_id, item_id, duration FROM p WHERE item_id IN (SELECT item_id FROM i WHERE genres <> '[]')",
+    "interactions_known_items": "SELECT user_id, item_id, duration FROM p WHERE item_id IN (SELECT 2 * item_id FROM i)",
     "interactions_enriched": """SELECT user_id, item_id, duration,
         CASE WHEN genres <> '[]' THEN replace(genres[2:-2], ',', '|') END AS genres,
         CASE WHEN countries <> '[]' THEN replace(countries[2:-2], ',', '|') END AS countries FROM p LEFT JOIN i USING (item_id)""",
-    "outer_merge_common": """SELECT user_id, item_id, n_first, n_second FROM (SELECT user_id, item_id, count(*) AS n_first FROM e_raw
-            WHERE duration >= 5 GROUP BY 1, 2)
-        FULL JOIN (SELECT user_id, item_id, count(*) AS n_second FROM e_raw WHERE duration < 20 GROUP BY 1, 2) USING (user_id, item_id)""",
+    "outer_merge_common": """SELECT user_id, item_id, n_first, n_second
+        FROM (SELECT user_id, item_id, count(*) AS n_first FROM e_raw GROUP BY 1, 2)
+        FULL JOIN (SELECT user_id, item_id, count(*) AS n_second FROM p GROUP BY 1, 2) USING (user_id, item_id)""",
     "item_views": "SELECT i.item_id, count(DISTINCT user_id) AS views FROM i LEFT JOIN e USING (item_id) GROUP BY 1",
     "items_by_views": "SELECT i.item_id, count(DISTINCT user_id) AS views FROM i LEFT JOIN e USING (item_id) GROUP BY 1 HAVING views > 0",
     "users_by_watches": "SELECT user_id, count(*) AS n FROM e GROUP BY 1 HAVING n > 50",
@@ -353,6 +354,8 @@ ORACLES: dict[str, str] = {
     "bm25_item_weights": "SELECT user_id, item_id, a * b AS weight FROM bp_rows",
     "bm25_item_similarity": "SELECT * FROM be_sim",
     "bm25_candidates": "SELECT * FROM bp_cand",
+    "bm25_candidates_by_history": """SELECT c.* FROM bp_cand c JOIN (SELECT user_id, count(*) AS n FROM p GROUP BY 1) USING (user_id)
+        WHERE rank <= CASE WHEN n < 40 THEN 60 ELSE 30 END""",
     "cooccurrence_pairs": "SELECT * FROM ce_pairs",
     "cooccurrence_recommend": "SELECT user_id, item_id, score AS cooc_score_0, rank - 1 AS cooc_rank_0 FROM ce_cand",
     "candidate_union": "SELECT * FROM ue_union",
@@ -387,9 +390,12 @@ ORACLES: dict[str, str] = {
         SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY turn, rank, item_id) AS place FROM filled) WHERE place <= 20""",
     "average_precision_at_k": "SELECT * FROM ap",
     "map_at_k": "SELECT avg(ap) AS map, count(*) AS n_users FROM ap",
-    "candidate_recall_by_history": """SELECT n AS history_len, sum(hits) AS hits, sum(targets) AS targets, sum(hits) / sum(targets) AS recall FROM (
-        SELECT t.user_id, count(u.user_id) AS hits, count(*) AS targets FROM p_d2 t LEFT JOIN up_union u USING (user_id, item_id) GROUP BY 1)
-        JOIN (SELECT user_id, count(*) AS n FROM p_d1 GROUP BY 1) USING (user_id) WHERE n BETWEEN 1 AND 60 GROUP BY 1""",
+    "candidate_recall_by_history": """SELECT budget, n AS history_len, sum(hit) AS hits, count(*) AS targets, sum(hit) / count(*) AS recall
+        FROM (SELECT budget, l.n, CASE WHEN c.user_id IS NOT NULL OR r.rank <= CASE WHEN l.n < 3 THEN few ELSE many END THEN 1 ELSE 0 END AS hit
+            FROM p_d2 t JOIN (SELECT user_id, count(*) AS n FROM p_d1 GROUP BY 1) l USING (user_id)
+            CROSS JOIN (VALUES ('by_history', 900, 400), ('same', 400, 400)) b(budget, few, many)
+            LEFT JOIN cp_cand c ON c.user_id = t.user_id AND c.item_id = t.item_id
+            LEFT JOIN br_cand r ON r.user_id = t.user_id AND r.item_id = t.item_id) GROUP BY 1, 2""",
     "weekly_interactions": "SELECT weekofyear(ts) AS week_number, count(*) AS n FROM e GROUP BY 1",
     "users_by_min_history": """SELECT min_views, count(n) AS n_users FROM range(41) r(min_views)
         LEFT JOIN (SELECT user_id, count(*) AS n FROM e GROUP BY 1) ON n > min_views GROUP BY 1""",

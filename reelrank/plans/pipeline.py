@@ -22,12 +22,12 @@ from reelrank.sources.dataset import Dataset
 class Config:
     """Parameters of a run; the defaults are the production profile."""
 
-    production: bool = True
     users_watches_threshold: int = 0
     items_views_threshold: int = 0
     budget: Budget = field(default_factory=Budget)
     weeks_for_ranker: int = 2
     weeks_for_local: int = 1
+    cold_start: str = "local"
     train_size: float = 0.999999999999
     neighbours: int = bm25.NEIGHBOURS
     trend_window: int = features.TREND_WINDOW
@@ -76,8 +76,9 @@ class Trained:
 
 def prepare(dataset: Dataset, config: Config = PRODUCTION) -> Prepared:
     raw = clean.typed_log(dataset.log)
-    views = clean.items_by_views(clean.item_views(raw, dataset.items), config.items_views_threshold)
-    items = dataset.items.join(views.select("item_id"), "item_id", "left_semi")
+    views = materialize(clean.items_by_views(clean.item_views(raw, dataset.items), config.items_views_threshold))
+    # Stored: every later step reads the items, none the raw log again.
+    items = materialize(dataset.items.join(views.select("item_id"), "item_id", "left_semi"))
     log = clean.dedupe(clean.known_items(raw, items))
     log = materialize(clean.keep_active_users(log, config.users_watches_threshold))
     roles = clean.staff_by_role(items, dataset.staff)
@@ -90,17 +91,17 @@ def prepare(dataset: Dataset, config: Config = PRODUCTION) -> Prepared:
     return Prepared(
         log,
         items,
-        materialize(views),
+        views,
         materialize(texts),
         hot_keys(log, ["user_id"]),
         hot_keys(log, ["item_id"]),
     )
 
 
-def first_stage(log: DataFrame, config: Config, hot_items: HotKeys | None = None) -> FirstStage:
+def first_stage(log: DataFrame, config: Config) -> FirstStage:
     """Fit item neighbours and factors on ``log`` and propose candidates for all its users."""
     sim = materialize(bm25.item_similarity(log, config.neighbours))
-    near = candidates.bm25_candidates(log, sim, config.budget, hot_items)
+    near = candidates.bm25_candidates(log, sim, config.budget)
     als = candidates.fit_als(log, seed=config.seed, max_iter=config.als_iterations)
     factored = candidates.als_candidates(log, als, config.budget)
     union = materialize(candidates.candidate_union(factored, near, "als"))
@@ -131,7 +132,7 @@ def train(prepared: Prepared, config: Config = PRODUCTION) -> Trained:
     """Fit the ranker: candidates from d1, labels from d2."""
     d1, d2 = splits.train_target(prepared.log, config.weeks_for_ranker, prepared.hot_users)
     d1, d2 = materialize(d1.drop("week_idx")), materialize(d2.drop("week_idx"))
-    stage = first_stage(d1, config, prepared.hot_items)
+    stage = first_stage(d1, config)
     rows = materialize(training.labelled(stage.union, d2, "als"))
     without_hits = training.users_without_hits(d2, training.candidate_hits(rows))
     split = training.user_split(d2, config.train_size, config.seed)
@@ -165,7 +166,7 @@ def scores(
     prepared: Prepared, trained: Trained, config: Config = PRODUCTION, users: DataFrame | None = None
 ) -> DataFrame:
     """Ranker score of every candidate of the users it can serve; candidates are refitted on the whole log."""
-    stage = first_stage(prepared.log, config, prepared.hot_items)
+    stage = first_stage(prepared.log, config)
     served = stage.union.join(trained.without_hits, "user_id", "left_anti")
     if users is not None:
         served = served.join(users.select("user_id").distinct(), "user_id", "left_semi")
@@ -180,9 +181,12 @@ def lists_from(
     wanted = prepared.log.select("user_id").distinct() if users is None else users.select("user_id").distinct()
     ranked = ranker.top_per_user(scored, config.top_n)
     local = materialize(coldstart.local_top_items(prepared.log, config.weeks_for_local))
-    fallback = coldstart.cold_start_local(
-        prepared.log, prepared.items, local, wanted, config.top_n, prepared.hot_items
-    )
+    if config.cold_start == "global":
+        fallback = coldstart.cold_start_global(
+            prepared.log, prepared.items, prepared.views, local, wanted, config.top_n, prepared.hot_users, prepared.hot_items
+        )
+    else:
+        fallback = coldstart.cold_start_local(prepared.log, prepared.items, local, wanted, config.top_n, prepared.hot_items)
     return fill_up(ranked, fallback, config.top_n)
 
 
@@ -202,7 +206,7 @@ def recommend_neighbours(
     """Top lists from item neighbours alone, filled up with locally popular items."""
     hot_items = hot_keys(log, ["item_id"])
     sim = materialize(bm25.item_similarity(log, neighbours))
-    ranked = candidates.bm25_candidates(log, sim, Budget(top_n, top_n, 0), hot_items)
+    ranked = candidates.bm25_candidates(log, sim, Budget(top_n, top_n, 0))
     local = coldstart.local_top_items(log, weeks_for_local)
     fallback = coldstart.cold_start_local(log, items, local, top_n=top_n, hot_items=hot_items)
     return fill_up(ranked, fallback, top_n)
@@ -219,6 +223,8 @@ def offline_test(dataset: Dataset, config: Config = PRODUCTION) -> DataFrame:
     prepared = prepare(dataset, config)
     rest = materialize(splits.before_last_weeks(prepared.log, splits.HOLDOUT_WEEKS).drop("week_idx"))
     known = replace(prepared, log=rest)
-    truth = splits.of_users(splits.last_weeks(prepared.log, splits.HOLDOUT_WEEKS), rest, prepared.hot_users)
+    # Test users are those the ranker's candidates come from.
+    d1, _ = splits.train_target(rest, config.weeks_for_ranker, prepared.hot_users)
+    truth = splits.of_users(splits.last_weeks(prepared.log, splits.HOLDOUT_WEEKS), d1, prepared.hot_users)
     predicted = recommend(known, train(known, config), config, truth)
     return evaluate.map_at_k(evaluate.average_precision(predicted, truth, config.top_n))

@@ -24,10 +24,12 @@ from reelrank.sources.dataset import Dataset, predictions_wide
 E_NEIGHBOURS = 20
 E_BUDGET = Budget(20, 20, 0)
 P_BUDGET = Budget(100, 100, 4)
+# List lengths compared by history length, 900 for one or two watches against 400 for all.
+RECALL_BUDGETS = {"by_history": Budget(900, 400, 3), "same": Budget(400, 400, 3)}
+H_BUDGET = Budget(60, 30, 40)
 E_CONFIG = replace(
     pipeline.EXPLORATION, budget=E_BUDGET, neighbours=E_NEIGHBOURS, alphabet=LATIN, rounds=10, als_iterations=5
 )
-RECALL_LENGTHS = (1, 60)
 ACTIVE_USER = 50
 SPLIT_SHARE = 0.8
 
@@ -201,7 +203,7 @@ def interactions_dedup(spark, d):
 
 @query
 def interactions_known_items(spark, d):
-    return clean.known_items(_p(spark, d), testdata.items(spark, d).where("genres <> '[]'"))
+    return clean.known_items(_p(spark, d), testdata.catalogue_with_gaps(spark, d))
 
 
 @query
@@ -217,7 +219,8 @@ def outer_merge_common(spark, d):
     def counted(rows: DataFrame, name: str) -> DataFrame:
         return rows.groupBy("user_id", "item_id").agg(F.count(F.lit(1)).alias(name))
 
-    return clean.outer_merge(counted(log.where("duration >= 5"), "n_first"), counted(log.where("duration < 20"), "n_second"))
+    purchases = _p(spark, d)
+    return clean.outer_merge(counted(log, "n_first"), counted(purchases, "n_second"))
 
 
 @query
@@ -348,6 +351,12 @@ def bm25_candidates(spark, d):
     return candidates.bm25_candidates(log, materialize(bm25.item_similarity(log)), P_BUDGET)
 
 
+@query
+def bm25_candidates_by_history(spark, d):
+    log = _p(spark, d)
+    return candidates.bm25_candidates(log, materialize(bm25.item_similarity(log)), H_BUDGET)
+
+
 @query
 def cooccurrence_pairs(spark, d):
     return candidates.successor_pairs(_stored_e(spark, d))
@@ -491,8 +500,16 @@ def map_at_k(spark, d):
 
 @query
 def candidate_recall_by_history(spark, d):
+    """Both budgets side by side, for every length of history."""
     d1, d2 = _split(_p(spark, d))
-    return evaluate.candidate_recall_by_history(_union(d1, bm25.NEIGHBOURS, P_BUDGET), d1, d2, RECALL_LENGTHS)
+    sim = materialize(bm25.item_similarity(d1))
+    follow = materialize(candidates.successor_candidates(d1, candidates.successor_pairs(d1)))
+    found = None
+    for name, budget in RECALL_BUDGETS.items():
+        union = candidates.candidate_union(follow, candidates.bm25_candidates(d1, sim, budget), "cooc")
+        recall = evaluate.candidate_recall_by_history(union, d1, d2, None).withColumn("budget", F.lit(name))
+        found = recall if found is None else found.unionByName(recall)
+    return found
 
 
 @query

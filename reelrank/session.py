@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -41,15 +42,19 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir``; a folder of our own only where unset."""
-    named = spark.conf.get("spark.checkpoint.dir", "")
+    """Folder every executor can reach: ``spark.checkpoint.dir``. Only a local session may do without."""
+    named = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="reelrank-"))
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir names no folder that all executors share")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="reelrank-"))
     return spark.sparkContext.getCheckpointDir()
 
 
+_PREFIX = "reelrank-"
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage at a table several later steps read: write it to the shared folder and scan it.
 
@@ -57,6 +62,12 @@ def materialize(df: DataFrame) -> DataFrame:
     steps read only their columns and joins know the size of the table.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/reelrank-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{_PREFIX}{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard_stored(spark: SparkSession) -> None:
+    """Remove the tables this application has stored; call it when the results of a job are written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{_PREFIX}{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -91,6 +91,11 @@ def items(spark: SparkSession, sf_dir: str, people: bool = False, texts: bool =
     return out
 
 
+def catalogue_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalogue that lacks some of the purchased items: every part, under twice its number."""
+    return items(spark, sf_dir).select((F.col("item_id") * 2).alias("item_id"))
+
+
 def staff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """People table: suppliers, with the role their region stands for."""
     supplier = table(spark, sf_dir, "supplier")

@@ -107,7 +107,7 @@ def expected_lists(seen, sim, n):
 
 
 @pytest.mark.parametrize(
-    "options", [{}, {"log_block": 40, "sim_block": 20}, {"heavy_history": 6}, {"heavy_history": 6, "log_block": 10}]
+    "options", [{}, {"log_block": 40, "sim_block": 20}, {"log_block": 10}]
 )
 def test_neighbour_lists(log, watched, sim, options):
     got, want = lists(log, sim, 5, **options), expected_lists(watched, sim, 5)

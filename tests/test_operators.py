@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -125,15 +126,24 @@ def test_history_positions(spark):
     assert pairs(candidates.user_history(log), "position", "item_id") == [(1, 5), (2, 3), (3, 4)]
 
 
-@pytest.mark.parametrize("steps", [[64], [2], []])
-def test_als_lists_are_unseen_and_full(spark, monkeypatch, steps):
-    monkeypatch.setattr(candidates, "ALS_SEEN_STEPS", steps or [0])
-    log = log_of(spark, {u: [(u + k) % 12 for k in range(1 + u % 5)] for u in range(20)}).persist()
-    fitted = candidates.fit_als(log, rank=4, max_iter=2, blocks=2)
-    got = candidates.als_candidates(log, fitted, Budget(5, 5, 0))
-    assert got.join(log, ["user_id", "item_id"]).count() == 0
-    counts = {r.user_id: r["count"] for r in got.groupBy("user_id").count().collect()}
-    assert counts == {u: 5 for u in range(20)}
+@pytest.mark.parametrize("blocks", [{}, {"user_block_rows": 12, "item_block": 3}])
+def test_als_lists_are_the_best_unseen(spark, monkeypatch, blocks):
+    monkeypatch.setattr(candidates, "SCORE_CELLS", 20)
+    # Users 17, 18, 19 have seen all but a few items.
+    log = log_of(spark, {u: [(u + k) % 12 for k in range(1 + u % 5 if u < 17 else 9)] for u in range(20)}).persist()
+    fitted = candidates.fit_als(log, rank=4, max_iter=2, block_rows=30)
+    got = candidates.als_candidates(log, fitted, Budget(5, 5, 0), **blocks).collect()
+    model, users, items = fitted
+    user_of, item_of = ({r[1]: r[0] for r in t.collect()} for t in (users, items))
+    u = {user_of[r.id]: np.array(r.features, dtype=float) for r in model.userFactors.collect()}
+    i = {item_of[r.id]: np.array(r.features, dtype=float) for r in model.itemFactors.collect()}
+    seen = {(r.user_id, r.item_id) for r in log.collect()}
+    for user, f in u.items():
+        open_items = sorted((-round(float(f @ g), 9), item) for item, g in i.items() if (user, item) not in seen)
+        own = sorted((r.rank, r.item_id) for r in got if r.user_id == user)
+        assert [x for _, x in own] == [x for _, x in open_items[:5]]
+    for r in got:
+        assert r.score == pytest.approx(float(u[r.user_id] @ i[r.item_id]), abs=1e-8)
 
 
 def union_fixture(spark):

@@ -32,7 +32,7 @@ def hot(table, keys, limit=100):
 
 
 def test_hot_keys_are_the_heaviest(table):
-    assert [r[0] for r in hot(table, ["k"]).rows] == [1]
+    assert [r[0] for r in hot(table, ["k"]).table.collect()] == [1]
     assert not skew.hot_keys(table, ["k"], 10_000)
 
 

@@ -45,31 +45,56 @@ def _identity(doc_id: str, text: str) -> list[Column]:
     return [F.coalesce(F.col(doc_id).cast("long"), last).alias("doc"), F.xxhash64(text).alias("body")]
 
 
-def _halves(words: Column) -> Column:
-    """Hashes of the front and back halves, for partners as long or one word longer, and one word shorter."""
-    n = F.size(words)
+def _hashed_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One row per line that counts: its place, 128 bits of hash of its words, and hashes of its halves.
+
+    Halves are hashed for partners as long or one word longer (of ``n``), and one word shorter (of ``n - 1``).
+    """
+    whole, half = xxhash.xxh3_128_digest, xxhash.xxh3_64_digest
+    for batch in batches:
+        at, line, lines, halves = [], [], [], []
+        for row, text in enumerate(batch["text"]):
+            for number, raw in enumerate(text.encode("utf-8", "replace").split(b"\n")):
+                words = raw.split()
+                n = len(words)
+                if n < MIN_WORDS:
+                    continue
+                at.append(row)
+                line.append(number)
+                lines.append(whole(b" ".join(words)))
+                if n < NEAR_WORDS:
+                    halves.append(bytes(32))
+                    continue
+                for length in (n, n - 1):
+                    front = length // 2
+                    halves.append(half(b"<%d " % length + b" ".join(words[:front])))
+                    halves.append(half(b">%d " % length + b" ".join(words[n - length + front :])))
+        hashes = np.frombuffer(b"".join(lines), dtype="<i8").reshape(-1, 2)
+        keys = np.frombuffer(b"".join(halves), dtype="<i8").reshape(-1, 4)
+        yield pd.DataFrame({
+            "doc": batch["doc"].to_numpy()[at] if at else np.zeros(0, dtype=np.int64),
+            "body": batch["body"].to_numpy()[at] if at else np.zeros(0, dtype=np.int64),
+            "line": np.array(line, dtype=np.int32),
+            "h": hashes[:, 0],
+            "g": hashes[:, 1],
+            **{f"k{i}": keys[:, i] for i in range(4)},
+        })
 
-    def pair(length: Column) -> list[Column]:
-        front = F.floor(length / 2).cast("int")
-        back = length - front
-        return [
-            F.xxhash64(F.lit(0), length, F.slice(words, F.lit(1), front)),
-            F.xxhash64(F.lit(1), length, F.slice(words, n - back + 1, back)),
-        ]
 
-    return F.when(n >= NEAR_WORDS, F.array_distinct(F.array(*pair(n), *pair(n - 1))))
+#: Halves of a line, zeros where it has too few words to have near lines.
+HALVES = ["k0", "k1", "k2", "k3"]
 
 
 def lines_of(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc, body, line, two hashes of the words (h, g) and the halves, for every line that counts."""
-    rows = docs.select(*_identity(doc_id, text), F.posexplode(F.split(text, "\n")).alias("line", "raw"))
-    rows = rows.select(*LINE, _words(F.col("raw")).alias("words")).where(F.size("words") >= MIN_WORDS)
-    return rows.select(*LINE, F.xxhash64("words").alias("h"), F.xxhash64(F.lit(1), "words").alias("g"), _halves(F.col("words")).alias("halves"))
+    rows = docs.where(F.col(text).isNotNull()).select(*_identity(doc_id, text), F.col(text).alias("text"))
+    schema = "doc long, body long, line int, h long, g long, k0 long, k1 long, k2 long, k3 long"
+    return rows.mapInPandas(_hashed_lines, schema)
 
 
 def _partnered(distinct: DataFrame) -> DataFrame:
     """The distinct lines that share a half with another one."""
-    keyed = distinct.select("h", "g", F.explode("halves").alias("key"))
+    keyed = distinct.where("k0 <> 0").select("h", "g", F.explode(F.array(*HALVES)).alias("key"))
     shared = keyed.groupBy("key").agg(F.min("h").alias("a"), F.max("h").alias("b")).where("a <> b").select("key")
     return keyed.join(shared, "key").select("h", "g").distinct()
 
@@ -132,7 +157,7 @@ def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def near_lines(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     """h, g of the distinct lines that have an earlier line within one edit.
 
-    ``distinct``: h, g, first (struct of doc, body, line) and halves, stored.
+    ``distinct``: h, g, first (struct of doc, body, line) and the halves, stored.
     """
     live = materialize(distinct.join(_partnered(distinct), ["h", "g"]).select("h", "g", "first.*"))
     texts = materialize(_fetched(docs, live))
@@ -159,7 +184,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     """doc, body, line of every line that goes."""
     lines = materialize(lines_of(docs))
     first = F.min(F.struct(*LINE)).alias("first")
-    distinct = lines.groupBy("h", "g").agg(first, F.count(F.lit(1)).alias("n"), F.first("halves").alias("halves"))
+    distinct = lines.groupBy("h", "g").agg(first, F.count(F.lit(1)).alias("n"), *[F.max(k).alias(k) for k in HALVES])
     distinct = materialize(distinct)
     near = materialize(near_lines(docs, distinct)).withColumn("near", F.lit(True))
     judged = distinct.join(near, ["h", "g"], "left").where("n > 1 or near").select("h", "g", "first", "near")
@@ -179,16 +204,18 @@ def dedupe_lines(docs: DataFrame) -> DataFrame:
     named = docs.withColumns({doc: identity[0], body: identity[1]})
     # The hint stays with the small side.
     joined = named.join(gone, [doc, body], "left")
-    split = F.split("text", "\n")
-    places = F.sequence(F.lit(0), F.size(split) - 1)
-    kept = F.array_join(F.transform(F.array_except(places, F.col(numbers)), lambda i: F.get(split, i)), "\n")
-    rewritten = {
-        lines: F.coalesce(F.size(split), F.lit(0)).cast("long"),
-        dropped: F.coalesce(F.size(numbers), F.lit(0)).cast("long"),
-    }
-    rewritten = {k: F.when(F.col("text").isNull(), 0).otherwise(v) for k, v in rewritten.items()}
-    out = joined.withColumns(rewritten).withColumn("text", F.when(F.col(numbers).isNull(), F.col("text")).otherwise(kept))
-    return out.select(*docs.columns, lines, dropped)
+    touched = F.col(numbers).isNotNull()
+    # A column of its own, or every line would split the text anew.
+    cut = fresh(joined, "cut")
+    joined = joined.withColumn(cut, F.when(touched, F.split("text", "\n")))
+    places = F.sequence(F.lit(0), F.size(cut) - 1)
+    kept = F.array_join(F.transform(F.array_except(places, F.col(numbers)), lambda i: F.get(F.col(cut), i)), "\n")
+    counted = F.length("text") - F.length(F.translate("text", "\n", "")) + 1
+    out = joined.withColumns({
+        lines: F.coalesce(counted, F.lit(0)).cast("long"),
+        dropped: F.when(touched, F.size(numbers)).otherwise(0).cast("long"),
+    })
+    return out.withColumn("text", F.when(touched, kept).otherwise(F.col("text"))).select(*docs.columns, lines, dropped)
 
 
 __all__ = ["dedupe_lines", "repeated_lines", "variants", "within_one"]

@@ -62,6 +62,7 @@ COLUMNS = {
     "ranker_training_set": "user_id i, item_id i, bucket s, label i",
     "candidate_normalised_scores": "user_id i, item_id i, popularity_rel d, sum_time_rel d, cooc_score_rel d, nn_score_rel d",
     "bm25_similarity_stats": "user_id i, item_id i, similarity_mean d4, similarity_min d4, similarity_max d4, similarity_std d4, similarity_var d2",
+    "bm25_similarity_stats_purchases": "user_id i, item_id i, similarity_mean d4, similarity_min d4, similarity_max d4, similarity_std d4, similarity_var d0",
     "factor_similarity_stats": "user_id i, item_id i, als_similarity_mean d4, als_similarity_min d4, als_similarity_max d4, als_similarity_std d4, als_similarity_var d4",
     "candidate_features": (
         "user_id i, item_id i, cooc_score d, cooc_rank d, nn_score d, nn_rank d, popularity d, popularity_rel d, "
@@ -259,6 +260,12 @@ CTES: dict[str, str] = {
     "triples": "SELECT u.user_id, u.item_id, h.item_id AS past FROM ue_union u JOIN e_d1 h ON h.user_id = u.user_id",
     "second": """SELECT x.item_i AS item_id, y.item_i AS past, sum(x.similarity * y.similarity) AS x
         FROM bd_sim x JOIN bd_sim y ON x.item_j = y.item_j GROUP BY 1, 2""",
+    "p_triples": "SELECT u.user_id, u.item_id, h.item_id AS past FROM bq_cand u JOIN p_d1 h ON h.user_id = u.user_id",
+    "p_second": """SELECT x.item_i AS item_id, y.item_i AS past, sum(x.similarity * y.similarity) AS x
+        FROM bq_sim x JOIN bq_sim y ON x.item_j = y.item_j GROUP BY 1, 2""",
+    "p_near_stats": """SELECT user_id, item_id, avg(coalesce(x, 0)) AS similarity_mean, min(coalesce(x, 0)) AS similarity_min,
+        max(coalesce(x, 0)) AS similarity_max, stddev_pop(coalesce(x, 0)) AS similarity_std, var_pop(coalesce(x, 0)) AS similarity_var
+        FROM p_triples LEFT JOIN p_second USING (item_id, past) GROUP BY 1, 2""",
     "vectors": "SELECT vec_id AS item_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings",
     "cosines": """SELECT a.item_id, b.item_id AS past, list_cosine_similarity(a.v, b.v) AS x FROM vectors a, vectors b
         WHERE a.item_id IN (SELECT item_id FROM e_items) AND b.item_id IN (SELECT item_id FROM e_items)""",
@@ -367,6 +374,7 @@ ORACLES: dict[str, str] = {
     "ranker_training_set": "SELECT * FROM training",
     "candidate_normalised_scores": "SELECT * FROM normalised",
     "bm25_similarity_stats": "SELECT * FROM near_stats",
+    "bm25_similarity_stats_purchases": "SELECT * FROM p_near_stats",
     "factor_similarity_stats": "SELECT * FROM factor_stats",
     "candidate_features": "SELECT n.user_id, n.item_id, "
     + ", ".join(

@@ -118,11 +118,9 @@ def features_for(
         prepared.log, history, items, config.trend_window, prepared.hot_items
     )
     keys = rows.select("user_id", "item_id")
-    triples = similarity.beside_history(keys, stage.log, prepared.hot_users)
-    pairs = similarity.needed_pairs(triples)
     stats = [
-        similarity.bm25_similarity_stats(triples, pairs, stage.similarity, prepared.hot_items),
-        similarity.factor_similarity_stats(triples, pairs, stage.factors, prepared.hot_items),
+        similarity.bm25_similarity_stats(keys, stage.log, stage.similarity),
+        similarity.factor_similarity_stats(keys, stage.log, stage.factors),
     ]
     relative = training.normalised_scores(stage.union, popularity, "als").join(keys, ["user_id", "item_id"], "left_semi")
     return training.candidate_features(relative, materialize(item_features), prepared.texts, stats, "als")

@@ -420,16 +420,22 @@ def _union_and_near(d1: DataFrame) -> tuple[DataFrame, DataFrame]:
 def bm25_similarity_stats(spark, d):
     d1, _ = _split(_stored_e(spark, d))
     union, sim = _union_and_near(d1)
-    triples = similarity.beside_history(union, d1)
-    return similarity.bm25_similarity_stats(triples, similarity.needed_pairs(triples), sim, hot_keys(d1, ["item_id"]))
+    return similarity.bm25_similarity_stats(union, d1, sim)
+
+
+@query
+def bm25_similarity_stats_purchases(spark, d):
+    """Full lists and neighbours: 100 candidates of each kind, K = 210."""
+    d1, _ = _split(_p(spark, d))
+    sim = materialize(bm25.item_similarity(d1))
+    near = materialize(candidates.bm25_candidates(d1, sim, P_BUDGET))
+    return similarity.bm25_similarity_stats(near, d1, sim)
 
 
 @query
 def factor_similarity_stats(spark, d):
     d1, _ = _split(_stored_e(spark, d))
-    triples = similarity.beside_history(materialize(_union(d1)), d1)
-    pairs = similarity.needed_pairs(triples)
-    return similarity.factor_similarity_stats(triples, pairs, testdata.factors(spark, d), hot_keys(d1, ["item_id"]))
+    return similarity.factor_similarity_stats(materialize(_union(d1)), d1, testdata.factors(spark, d))
 
 
 @query
@@ -438,8 +444,6 @@ def candidate_features(spark, d):
     d1, _ = _split(log)
     items = testdata.items(spark, d, people=True, texts=True)
     union, sim = _union_and_near(d1)
-    triples = similarity.beside_history(union, d1)
-    pairs = similarity.needed_pairs(triples)
     hot = hot_keys(log, ["item_id"])
     e_items = log.select("item_id").distinct()
     texts = training.item_text_features(
@@ -453,8 +457,8 @@ def candidate_features(spark, d):
         features.item_feature_table(log, d1, e_items, hot=hot),
         texts,
         [
-            similarity.bm25_similarity_stats(triples, pairs, sim, hot),
-            similarity.factor_similarity_stats(triples, pairs, testdata.factors(spark, d), hot),
+            similarity.bm25_similarity_stats(union, d1, sim),
+            similarity.factor_similarity_stats(union, d1, testdata.factors(spark, d)),
         ],
         "cooc",
         hot=hot_keys(union, ["item_id"]),

@@ -195,20 +195,51 @@ def test_normalised_scores_of_missing_and_zero(spark):
 
 def test_similarity_counts_missing_pairs_as_zero(spark):
     log = log_of(spark, {1: [1, 2]})
-    wanted = spark.createDataFrame([(1, 3)], "user_id bigint, item_id bigint")
+    wanted = spark.createDataFrame([(1, 3), (2, 3)], "user_id bigint, item_id bigint")
     sim = spark.createDataFrame([(3, 1, 2.0), (1, 1, 3.0), (2, 2, 1.0)], "item_i bigint, item_j bigint, similarity double")
-    triples = similarity.beside_history(wanted, log)
-    row = similarity.bm25_similarity_stats(triples, similarity.needed_pairs(triples), sim, hot_keys(log, ["item_id"])).first()
-    assert (row.similarity_mean, row.similarity_min, row.similarity_max, row.similarity_std) == (3.0, 0.0, 6.0, 3.0)
-
-
-@pytest.mark.parametrize("limit", [1, 10_000])
-def test_cosine(spark, monkeypatch, limit):
-    monkeypatch.setattr(similarity, "hot_keys", lambda df, keys, *_: hot_keys(df, keys, limit))
-    vectors = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 1.0]), (3, [0.0, 0.0])], "item_id bigint, factor array<double>")
-    wanted = spark.createDataFrame([(1, 1), (1, 2), (1, 3), (2, 1)], "item_id bigint, past bigint")
-    got = {(r.item_id, r.past): r.x for r in similarity.cosine(wanted, vectors).collect()}
-    assert got == {(1, 1): pytest.approx(1), (1, 2): pytest.approx(0.5**0.5), (2, 1): pytest.approx(0.5**0.5)}
+    (row,) = similarity.bm25_similarity_stats(wanted, log, sim).collect()
+    assert tuple(row) == (1, 3, 3.0, 0.0, 6.0, 3.0, 9.0)
+
+
+@pytest.mark.parametrize("limits", [{}, {"CELLS": 8, "PRODUCTS": 12}])
+def test_similarity_statistics(spark, monkeypatch, limits):
+    for name, value in limits.items():
+        monkeypatch.setattr(similarity, name, value)
+    rng = np.random.default_rng(2)
+    factors = {i: rng.normal(size=3).tolist() if i % 7 else [0.0] * 3 for i in range(25) if i % 6}
+    near = {(i, j): float(rng.integers(1, 9)) for i in range(20) for j in rng.choice(25, 6, replace=False).tolist()}
+    seen = {u: rng.choice(25, 1 + u % 12, replace=False).tolist() for u in range(30)}
+    wanted = [(u, i) for u in seen for i in range(25) if i not in seen[u] and (u + i) % 3]
+    log = log_of(spark, seen)
+    lists = spark.createDataFrame(wanted, "user_id bigint, item_id bigint")
+    sim = spark.createDataFrame([(i, j, v) for (i, j), v in near.items()], "item_i bigint, item_j bigint, similarity double")
+    vectors = spark.createDataFrame(list(factors.items()), "item_id bigint, factor array<double>")
+
+    def second(a, b):
+        return sum(near.get((a, j), 0) * near.get((b, j), 0) for j in range(25))
+
+    def cosine(a, b):
+        x, y = (np.array(factors.get(i, [0.0] * 3)) for i in (a, b))
+        size = np.sqrt((x @ x) * (y @ y))
+        return float(x @ y / size) if size else 0.0
+
+    for value, got in (
+        (second, similarity.bm25_similarity_stats(lists, log, sim, "", 40)),
+        (cosine, similarity.factor_similarity_stats(lists, log, vectors, "", 40)),
+    ):
+        rows = {(r.user_id, r.item_id): tuple(r)[2:] for r in got.collect()}
+        assert rows.keys() == set(wanted)
+        for (u, i), numbers in rows.items():
+            x = np.array([value(i, h) for h in seen[u]])
+            assert numbers == pytest.approx((x.mean(), x.min(), x.max(), x.std(), x.var()), abs=1e-9)
+
+
+def test_no_table_of_pairs(spark):
+    log = log_of(spark, {1: [1, 2]})
+    sim = spark.createDataFrame([(1, 1, 1.0)], "item_i bigint, item_j bigint, similarity double")
+    plan = similarity.bm25_similarity_stats(log, log, sim)._jdf.queryExecution().optimizedPlan().toString()
+    # The only join brings vectors to blocks.
+    assert plan.count("Join") == 1 and "FlatMapCoGroupsInPandas" in plan
 
 
 def cold_fixture(spark):

@@ -1,5 +1,9 @@
 """Item neighbours against a dense computation, on every path."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -123,3 +127,34 @@ def test_small_cells(log, watched, sim, monkeypatch):
     got = bm25._block_lists(history, sim.toPandas(), 5)
     assert got.groupby("user_id").size().max() <= 5
     assert set(got.user_id) == set(expected_lists(watched, sim, 5))
+
+
+MEMORY = """
+import resource, sys
+import numpy as np, pandas as pd
+from reelrank.operators import bm25
+rng = np.random.default_rng(1)
+users, items, k = 4000, 1000, 210
+picked = np.argsort(rng.random((users, items)), axis=1)[:, :500]
+history = pd.DataFrame({"user_id": np.repeat(np.arange(users), 500), "item_id": picked.ravel()})
+near = pd.DataFrame({"item_i": np.repeat(np.arange(items), k), "item_j": np.argsort(rng.random((items, items)), axis=1)[:, :k].ravel()})
+near["similarity"] = rng.random(len(near))
+found = bm25._block_lists(history, near, 20)
+assert len(found) == users * 20
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss / 1024)
+"""
+
+
+def test_memory_of_a_block_is_bounded():
+    """2 million log rows of long histories: 420 million products stay under a gigabyte."""
+    root = Path(__file__).resolve().parent.parent
+    done = subprocess.run([sys.executable, "-c", MEMORY], cwd=root, capture_output=True, text=True, timeout=600)
+    assert done.returncode == 0, done.stderr
+    assert float(done.stdout) < 1024
+
+
+def test_products_in_slices(log, watched, sim, monkeypatch):
+    history, near = log.select("user_id", "item_id").toPandas(), sim.toPandas()
+    want = bm25._block_lists(history, near, 5)
+    monkeypatch.setattr(bm25, "PRODUCTS", 3)
+    assert bm25._block_lists(history, near, 5).equals(want)

@@ -38,6 +38,15 @@ def test_trend_weights():
         ("2023-04-05 06:07:08", dt.datetime(2023, 4, 5, 6, 7, 8)),
         ("2023-04-05 06:07:08.25", dt.datetime(2023, 4, 5, 6, 7, 8, 250000)),
         ("2023-04-05T06:07:08", dt.datetime(2023, 4, 5, 6, 7, 8)),
+        ("2023-04-05T06:07:08+03:00", dt.datetime(2023, 4, 5, 3, 7, 8)),
+        ("2023-04-05 06:07:08.5 -0130", dt.datetime(2023, 4, 5, 7, 37, 8, 500000)),
+        ("2023-04-05T06:07:08Z", dt.datetime(2023, 4, 5, 6, 7, 8)),
+        ("2023/04/05", dt.datetime(2023, 4, 5)),
+        ("2023/04/05 06:07:08", dt.datetime(2023, 4, 5, 6, 7, 8)),
+        ("05-04-2023 06:07:08", dt.datetime(2023, 4, 5, 6, 7, 8)),
+        ("05-04-2023", dt.datetime(2023, 4, 5)),
+        ("Apr 5, 2023 06:07", dt.datetime(2023, 4, 5, 6, 7)),
+        ("Apr 5, 2023", dt.datetime(2023, 4, 5)),
         ("2023-04-05", dt.datetime(2023, 4, 5)),
         ("05.04.2023 06:07:08", dt.datetime(2023, 4, 5, 6, 7, 8)),
         ("04/05/2023", dt.datetime(2023, 4, 5)),
@@ -98,3 +107,12 @@ def test_lists(spark):
     assert column(spark, "[]", text.int_list) == []
     assert column(spark, "[3, 7]", text.raw_list) == ["3", " 7"]
     assert column(spark, "[]", text.raw_list) is None
+
+
+@pytest.mark.parametrize("value, fine", [(None, True), ("", True), (" ", True), ("not a date", False), ("2023-13-45", False)])
+def test_a_time_that_cannot_be_read_raises(spark, value, fine):
+    if fine:
+        assert column(spark, value, calendar.read_datetime) is None
+    else:
+        with pytest.raises(Exception, match="not a time"):
+            column(spark, value, calendar.read_datetime)

@@ -344,3 +344,12 @@ def test_popular_items(spark):
     got = candidates.popular_items(log, 2)
     assert pairs(got, "rank", "item_id") == [(1, 2), (2, 1)]
     assert got.agg(F.max("n")).first()[0] == 2
+
+
+def test_log_rows_without_an_id_raise(spark):
+    schema = "user_id string, item_id string, ts string, duration string"
+    good = spark.createDataFrame([("1", "2", "2024-01-05", "3")], schema)
+    assert tuple(clean.typed_log(good).first())[:2] == (1, 2)
+    for row in [(None, "2", "2024-01-05", "3"), ("1", None, "2024-01-05", "3"), ("1", "2", "soon", "3")]:
+        with pytest.raises(Exception, match="no user_id|no item_id|not a time"):
+            clean.typed_log(spark.createDataFrame([row], schema)).collect()

@@ -36,11 +36,50 @@ def test_plan(spark, sf_dir, key):
     assert not [name for name in UNWANTED if name in plan]
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def scans(df):
+    """Parquet folders and files that the plan of ``df`` reads."""
+    return set(df.inputFiles())
+
+
+def test_no_step_reads_the_raw_log_again(spark, sf_dir):
+    data = registry._events_dataset(spark, sf_dir)
+    raw = scans(data.log)
+    prepared = pipeline.prepare(data, registry.E_CONFIG)
+    stage = pipeline.first_stage(prepared.log, replace(registry.E_CONFIG, als_iterations=1))
+    table = pipeline.features_for(stage.union, stage, prepared, prepared.log, registry.E_CONFIG)
+    scored = stage.union.select("user_id", "item_id", F.lit(0.5).alias("score"))
+    lists = pipeline.lists_from(prepared, scored, registry.E_CONFIG)
+    for name, frame in {"log": prepared.log, "items": prepared.items, "features": table, "lists": lists}.items():
+        assert not raw & scans(frame), name
+
+
+def test_both_cold_starts(spark, sf_dir):
+    prepared = pipeline.prepare(registry._events_dataset(spark, sf_dir), registry.E_CONFIG)
+    none = spark.createDataFrame([], "user_id bigint, item_id bigint, score double")
+    local, everywhere = (
+        {tuple(r) for r in pipeline.lists_from(prepared, none, replace(registry.E_CONFIG, cold_start=c)).collect()}
+        for c in ("local", "global")
+    )
+    assert local and everywhere and local != everywhere
+
+
 def test_scan_reads_only_its_columns(spark, sf_dir):
-    plan = entry.queries()["user_favourite_genres"](spark, sf_dir)
-    scan = testdata.items(spark, sf_dir).select("genres")._jdf.queryExecution().executedPlan().toString()
-    assert "p_retailprice" not in scan and "p_type" not in scan
-    assert plan.columns == ["user_id", "genre", "n", "rank"]
+    query = entry.queries()["user_favourite_genres"](spark, sf_dir)
+    assert "p_retailprice" not in plan_of(query) and "p_type" not in plan_of(query) and "l_comment" not in plan_of(query)
+
+
+def test_stored_tables_can_be_removed(spark):
+    from reelrank import session
+
+    kept = session.materialize(spark.range(3))
+    (path,) = {p.rpartition("/")[0] for p in kept.inputFiles()}
+    session.discard_stored(spark)
+    with pytest.raises(Exception):
+        spark.read.parquet(path).count()
 
 
 def test_recommendations(spark, sf_dir):

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelrank.llm.frames import blocks
+from reelrank.llm.frames import blocks, in_small_batches
 
 RATE = 0.2
 MIN_WORDS = 8
@@ -136,7 +136,7 @@ def item_blocks(benchmark: DataFrame, chars: int = BLOCK_CHARS) -> Iterator[list
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, chars: int = BLOCK_CHARS) -> DataFrame:
     """doc_id, item_id, distance, word: every item found within its budget in every document."""
-    kept, out = docs.select("doc_id", "text"), None
+    kept, out = in_small_batches(docs).select("doc_id", "text"), None
     for block in item_blocks(benchmark, chars):
         rows = kept.select("doc_id", F.explode(matcher(block, rate)(F.col("text"))).alias("m")).select("doc_id", "m.*")
         out = rows if out is None else out.unionAll(rows)
@@ -145,6 +145,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, char
 
 def clean(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, chars: int = BLOCK_CHARS) -> DataFrame:
     """``docs`` without the rows in which an item stands."""
+    in_small_batches(docs)
     for block in item_blocks(benchmark, chars):
         docs = docs.where(F.size(matcher(block, rate)(F.col("text"))) == 0)
     return docs

@@ -14,6 +14,16 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+#: Rows that a Python worker is sent at once; documents may be long.
+ARROW_ROWS = "1024"
+
+
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """``df``, its session set to hand rows to Python in batches that long texts keep small enough."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    return df
+
+
 def blocks(rows: int, size: int) -> int:
     """Number of blocks of about ``size`` rows; one at least."""
     return max(1, -(-rows // size))

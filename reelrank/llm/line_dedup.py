@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelrank.llm.frames import fresh, sent
+from reelrank.llm.frames import fresh, in_small_batches, sent
 from reelrank.session import materialize
 
 MIN_WORDS = 4
@@ -89,7 +89,7 @@ def lines_of(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     """doc, body, line, two hashes of the words (h, g) and the halves, for every line that counts."""
     rows = docs.where(F.col(text).isNotNull()).select(*_identity(doc_id, text), F.col(text).alias("text"))
     schema = "doc long, body long, line int, h long, g long, k0 long, k1 long, k2 long, k3 long"
-    return rows.mapInPandas(_hashed_lines, schema)
+    return in_small_batches(rows).mapInPandas(_hashed_lines, schema)
 
 
 def _partnered(distinct: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelrank.llm.frames import blocks
+from reelrank.llm.frames import blocks, in_small_batches
 from reelrank.llm.tokens import Encoder, Scheme, in_parts
 from reelrank.session import materialize
 
@@ -68,7 +68,7 @@ def pieces(docs: DataFrame, tokenizer: str, scheme: Scheme, end_id: int, size: i
 
     kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
-    return kept.mapInPandas(cut, schema + (", ids array<long>" if keep_ids else ""))
+    return in_small_batches(kept).mapInPandas(cut, schema + (", ids array<long>" if keep_ids else ""))
 
 
 def best_fit(lengths: np.ndarray, capacity: Capacity) -> tuple[np.ndarray, np.ndarray]:

@@ -24,6 +24,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reelrank.llm.frames import in_small_batches
+
 #: Bound of the fit: labelled documents used.
 SAMPLE = 20_000
 BINS = 64
@@ -168,7 +170,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Trees:
             yield pd.DataFrame({"doc_id": batch["doc_id"], "label": batch["label"], "x": list(_matrix(batch["text"]))})
 
     # A doc_id that many rows repeat still gives one training row.
-    found = rows.mapInPandas(measured, "doc_id long, label double, x array<double>")
+    found = in_small_batches(rows).mapInPandas(measured, "doc_id long, label double, x array<double>")
     found = found.groupBy("doc_id").agg(F.min(F.struct("label", "x")).alias("r")).select("doc_id", "r.*").toPandas()
     found = found.sort_values("doc_id", ignore_index=True)
     width = len(statistics(""))

@@ -25,6 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reelrank.llm.frames import in_small_batches
 from reelrank.session import materialize
 
 KINDS = ("assign", "access", "hex")
@@ -93,7 +94,7 @@ def find(docs: DataFrame) -> DataFrame:
             yield pd.DataFrame({"doc_id": batch["doc_id"].array, **rows})
 
     kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return kept.mapInPandas(run, FOUND)
+    return in_small_batches(kept).mapInPandas(run, FOUND)
 
 
 class Automaton:

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelrank.llm.components import components
-from reelrank.llm.frames import blocks, sent
+from reelrank.llm.frames import blocks, in_small_batches, sent
 from reelrank.session import materialize
 
 SEED = 42
@@ -76,7 +76,7 @@ def fingerprints(docs: DataFrame, width: int) -> DataFrame:
             yield pd.DataFrame({"doc_id": batch["doc_id"].array, "fp": made.view(np.int64)})
 
     kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return kept.mapInPandas(run, "doc_id long, fp long")
+    return in_small_batches(kept).mapInPandas(run, "doc_id long, fp long")
 
 
 def _quarter(fps: np.ndarray, q: int) -> np.ndarray:

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from reelrank.llm.frames import blocks
+from reelrank.llm.frames import blocks, in_small_batches
 from reelrank.llm.tokens import Encoder, Scheme, in_parts
 
 MAGIC = b"DAC1"
@@ -144,7 +144,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, scheme: Scheme, end_id: in
     kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     parts = blocks(kept.count(), PART_DOCS)
     ordered = kept.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
-    ordered.mapInPandas(blocks_of, FILE).write.option("compression", "uncompressed").parquet(path)
+    in_small_batches(ordered).mapInPandas(blocks_of, FILE).write.option("compression", "uncompressed").parquet(path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:

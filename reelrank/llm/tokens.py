@@ -17,7 +17,7 @@ from itertools import islice
 from struct import pack
 
 #: Strings remembered by one worker process; beyond it the newer half is forgotten.
-REMEMBERED = 1_500_000
+REMEMBERED = 1_000_000
 #: Longer strings are not remembered as a whole.
 LONGEST = 48
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿŒœŠšŽž"

@@ -27,9 +27,7 @@ P_BUDGET = Budget(100, 100, 4)
 # List lengths compared by history length, 900 for one or two watches against 400 for all.
 RECALL_BUDGETS = {"by_history": Budget(900, 400, 3), "same": Budget(400, 400, 3)}
 H_BUDGET = Budget(60, 30, 40)
-E_CONFIG = replace(
-    pipeline.EXPLORATION, budget=E_BUDGET, neighbours=E_NEIGHBOURS, alphabet=LATIN, rounds=10, als_iterations=5
-)
+E_CONFIG = replace(pipeline.EXPLORATION, budget=E_BUDGET, neighbours=E_NEIGHBOURS, alphabet=LATIN)
 ACTIVE_USER = 50
 SPLIT_SHARE = 0.8
 
@@ -551,15 +549,27 @@ def _events_dataset(spark: SparkSession, d: str) -> Dataset:
     return Dataset(testdata.events_log(spark, d), items, testdata.staff(spark, d))
 
 
-# Training is shared by the queries below as long as the session lives; every frame in it is stored.
-_STATE: dict[tuple[str, str], tuple[pipeline.Prepared, pipeline.Trained, DataFrame]] = {}
+# The four queries below ask for one and the same training, which takes minutes. Its tables are stored; they are
+# taken again while the application and the input files (their sizes and times) are the same.
+_STATE: dict[tuple, tuple[pipeline.Prepared, pipeline.Trained, DataFrame]] = {}
+
+
+def _inputs(spark: SparkSession, data: Dataset) -> tuple:
+    """Name, size and time of every file that the training reads."""
+    out = []
+    for name in sorted({f for df in (data.log, data.items, data.staff) for f in df.inputFiles()}):
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        status = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path)
+        out.append((name, status.getLen(), status.getModificationTime()))
+    return tuple(out)
 
 
 def _trained(spark: SparkSession, d: str) -> tuple[pipeline.Prepared, pipeline.Trained, DataFrame]:
     """Prepared tables, fitted ranker, and the stored score of every candidate."""
-    key = (spark.sparkContext.applicationId, d)
+    data = _events_dataset(spark, d)
+    key = (spark.sparkContext.applicationId, E_CONFIG, _inputs(spark, data))
     if key not in _STATE:
-        prepared = pipeline.prepare(_events_dataset(spark, d), E_CONFIG)
+        prepared = pipeline.prepare(data, E_CONFIG)
         trained = pipeline.train(prepared, E_CONFIG)
         _STATE[key] = (prepared, trained, materialize(pipeline.scores(prepared, trained, E_CONFIG)))
     return _STATE[key]

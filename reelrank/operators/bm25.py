@@ -256,7 +256,10 @@ def _slices(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 def _block_lists(history: pd.DataFrame, near: pd.DataFrame, n: int) -> pd.DataFrame:
-    """Best n unseen items of this block for every user of this block."""
+    """Best n unseen items of this block for every user of this block.
+
+    Scores come out as they were rounded here, so a tie is settled by one rounding only.
+    """
     found = []
     near = near.sort_values(["item_i", "item_j"], kind="stable")
     sources, at = np.unique(near["item_i"].to_numpy(), return_index=True)
@@ -298,7 +301,7 @@ def _block_lists(history: pd.DataFrame, near: pd.DataFrame, n: int) -> pd.DataFr
         place = np.arange(len(row)) - np.searchsorted(row, row)
         row, col = row[place < n], col[place < n]
         found.append(
-            pd.DataFrame({"user_id": users[low + row], "item_id": targets[col], "score": score[row, col]})
+            pd.DataFrame({"user_id": users[low + row], "item_id": targets[col], "score": rank_by[row, col]})
         )
     if not found:
         return pd.DataFrame({"user_id": np.zeros(0, "int64"), "item_id": np.zeros(0, "int64"), "score": np.zeros(0)})

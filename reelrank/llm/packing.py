@@ -28,7 +28,7 @@ from reelrank.llm.tokens import Encoder, Scheme, in_parts
 from reelrank.session import materialize
 
 #: Pieces packed together in one task.
-GROUP = 4096
+GROUP = 8192
 
 
 @dataclass(frozen=True)

@@ -6,6 +6,7 @@ import re
 import tempfile
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME_CONF = {
@@ -41,17 +42,25 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir``. Only a local session may do without."""
+def _folder(spark: SparkSession) -> str | None:
+    """Folder every executor can reach: ``spark.checkpoint.dir``; a temporary one only for a local session."""
     named = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
     if not re.match(r"local(\[|$)", spark.sparkContext.master):
-        raise ValueError("spark.checkpoint.dir names no folder that all executors share")
+        return None
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="reelrank-"))
     return spark.sparkContext.getCheckpointDir()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder, for files that must outlive the job's executors."""
+    folder = _folder(spark)
+    if folder is None:
+        raise ValueError("spark.checkpoint.dir names no folder that all executors share")
+    return folder
+
+
 _PREFIX = "reelrank-"
 
 
@@ -59,10 +68,14 @@ def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage at a table several later steps read: write it to the shared folder and scan it.
 
     The rows outlive the executors that wrote them. Parquet rather than a row checkpoint, so later
-    steps read only their columns and joins know the size of the table.
+    steps read only their columns and joins know the size of the table. Where a cluster names no shared folder the
+    rows are kept by the executors, with their lineage.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{_PREFIX}{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    folder = _folder(spark)
+    if folder is None:
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    path = f"{folder}/{_PREFIX}{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -296,7 +296,13 @@ def _block_lists(history: pd.DataFrame, near: pd.DataFrame, n: int) -> pd.DataFr
         best = np.lexsort((col, -rank_by[row, col], row))
         row, col = row[best], col[best]
         place = np.arange(len(row)) - np.searchsorted(row, row)
-        row, col = row[place < n], col[place < n]
+        # A score halfway between two digits may be rounded the other way by the window that orders the lists.
+        scaled = score * 10**SCORE_DIGITS
+        halfway = np.abs(scaled - np.floor(scaled) - 0.5) < 1e-3
+        unsure = halfway & np.isfinite(rank_by) & (rank_by >= least[:, None] - 1.5 * 10**-SCORE_DIGITS)
+        unsure[row[place < n], col[place < n]] = False
+        more = np.nonzero(unsure)
+        row, col = np.concatenate([row[place < n], more[0]]), np.concatenate([col[place < n], more[1]])
         found.append(
             pd.DataFrame({"user_id": users[low + row], "item_id": targets[col], "score": score[row, col]})
         )

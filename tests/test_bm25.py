@@ -158,3 +158,13 @@ def test_products_in_slices(log, watched, sim, monkeypatch):
     want = bm25._block_lists(history, near, 5)
     monkeypatch.setattr(bm25, "PRODUCTS", 3)
     assert bm25._block_lists(history, near, 5).equals(want)
+
+
+def test_scores_that_round_either_way_are_kept():
+    # Items 1 and 2 differ by half a unit of the ninth digit; rounded down it is a tie that goes to item 1.
+    near = pd.DataFrame({"item_i": 9, "item_j": [3, 1, 2], "similarity": [2.0, 1.0000000005, 1.0]})
+    history = pd.DataFrame({"user_id": [1], "item_id": [9]})
+    assert {3, 1} == set(bm25._block_lists(history, near, 2).item_id)
+    near["similarity"] = [2.0, 1.0, 1.0000000005]
+    # Rounded up, item 2 comes second: the window decides.
+    assert {3, 1, 2} == set(bm25._block_lists(history, near, 2).item_id)

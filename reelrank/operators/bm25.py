@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from reelrank.operators.skew import HotKeys, hot_keys, skew_join
+from reelrank.session import materialize
 
 # Neighbours kept, term saturation, length normalisation.
 NEIGHBOURS = 210
@@ -77,9 +78,10 @@ def item_weights(log: DataFrame, k1: float = K1, b: float = B) -> DataFrame:
 
 
 def _emitted_pairs(rows: DataFrame) -> DataFrame:
-    """S over the users that emit pairs: (i, j, a_i, a_j, s) for i < j, summed map-side first; the weights ride along.
+    """S over the users that emit pairs: (i, j, s) for i < j, summed map-side first.
 
-    The items of a user are spread over blocks of about BLOCK; a join key is one pair of blocks.
+    The items of a user are spread over blocks of about BLOCK; a join key is one pair of blocks. The
+    weights of the items are joined to the sums later, so they do not travel with the pairs.
     """
     blocks = F.ceil(F.col("n_u") / BLOCK).cast("int")
     placed = rows.withColumn("_blocks", blocks).withColumn("_at", F.pmod(F.xxhash64("item_id"), F.col("_blocks")).cast("int"))
@@ -88,7 +90,6 @@ def _emitted_pairs(rows: DataFrame) -> DataFrame:
         F.col("_at").alias("_lo"),
         F.explode(F.sequence("_at", F.col("_blocks") - 1)).alias("_hi"),
         F.col("item_id").alias("x"),
-        F.col("a").alias("a_x"),
         "q",
     )
     high = placed.select(
@@ -96,28 +97,15 @@ def _emitted_pairs(rows: DataFrame) -> DataFrame:
         F.explode(F.sequence(F.lit(0), "_at")).alias("_lo"),
         F.col("_at").alias("_hi"),
         F.col("item_id").alias("y"),
-        F.col("a").alias("a_y"),
     )
     # Both sides are as large as the log; a broadcast of one would only look cheap on a small file.
     pairs = low.join(high.hint("merge"), ["user_id", "_lo", "_hi"]).where((F.col("_lo") < F.col("_hi")) | (F.col("x") < F.col("y")))
-    first = F.col("x") < F.col("y")
-    return (
-        pairs.select(
-            F.least("x", "y").alias("i"),
-            F.greatest("x", "y").alias("j"),
-            F.when(first, F.col("a_x")).otherwise(F.col("a_y")).alias("a_i"),
-            F.when(first, F.col("a_y")).otherwise(F.col("a_x")).alias("a_j"),
-            "q",
-        )
-        .groupBy("i", "j")
-        .agg(F.max("a_i").alias("a_i"), F.max("a_j").alias("a_j"), F.sum("q").alias("s"))
-    )
+    return pairs.groupBy(F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j")).agg(F.sum("q").alias("s"))
 
 
 def _both_ways(pairs: DataFrame) -> DataFrame:
-    flipped = F.struct(F.col("j").alias("i"), F.col("i").alias("j"), F.col("a_j").alias("a_i"), F.col("a_i").alias("a_j"))
-    same = F.struct("i", "j", "a_i", "a_j")
-    return pairs.select(F.explode(F.array(same, flipped)).alias("p"), "s").select("p.*", "s")
+    flipped = F.struct(F.col("j").alias("i"), F.col("i").alias("j"))
+    return pairs.select(F.explode(F.array(F.struct("i", "j"), flipped)).alias("p"), "s").select("p.*", "s")
 
 
 def _best(pairs: DataFrame, by: list[str], strength: Column, other: str, k: int) -> DataFrame:
@@ -195,19 +183,18 @@ def _add_heavy(pairs: DataFrame, rows: DataFrame, heavy: list[tuple[int, int]],
         F.col("a_j") * F.col("shared"),
         "j",
         k,
-    ).select("class", "j", "a_j")
+    ).select("class", "j")
     through_heavy = classes.join(F.broadcast(per_class), "class").select(
-        F.col("item_id").alias("i"), "j", F.col("a").alias("a_i"), "a_j", F.lit(0).cast("bigint").alias("s")
+        F.col("item_id").alias("i"), "j", F.lit(0).cast("bigint").alias("s")
     )
-    weighted = [F.max("a_i").alias("a_i"), F.max("a_j").alias("a_j"), F.sum("s").alias("s")]
-    merged = pairs.unionByName(through_heavy).groupBy("i", "j").agg(*weighted)
+    merged = pairs.unionByName(through_heavy).groupBy("i", "j").agg(F.sum("s").alias("s"))
     class_i = classes.select(F.col("item_id").alias("i"), "class")
     class_j = classes.select(F.col("item_id").alias("j"), F.col("class").alias("class_2"))
     return (
         merged.join(class_i, "i", "left")
         .join(class_j, "j", "left")
         .join(weights, ["class", "class_2"], "left")
-        .select("i", "j", "a_i", "a_j", (F.col("s") + F.coalesce("shared", F.lit(0))).alias("s"))
+        .select("i", "j", (F.col("s") + F.coalesce("shared", F.lit(0))).alias("s"))
     )
 
 
@@ -229,23 +216,24 @@ def item_similarity(
     hot_users = hot_keys(log, ["user_id"], heavy_history)
     users = _user_side(log).select("user_id", "n_u", "b", _units(F.col("b")).alias("q"))
     with_user = skew_join(log.select("user_id", "item_id"), users, ["user_id"], "inner", hot_users, ["item_id"])
-    rows = skew_join(with_user, _item_side(log, k1, b), ["item_id"], "inner", hot_keys(log, ["item_id"]), ["user_id"])
+    # One row per item, read three times.
+    items = materialize(_item_side(log, k1, b))
+    rows = skew_join(with_user, items, ["item_id"], "inner", hot_keys(log, ["item_id"]), ["user_id"])
 
     heavy = _heaviest(hot_users)
     emitting = rows.where(~F.col("user_id").isin(heavy)) if heavy else rows
-    own = emitting.groupBy("item_id", "a").agg(F.sum("q").alias("s")).select(
-        F.col("item_id").alias("i"), F.col("item_id").alias("j"), F.col("a").alias("a_i"), F.col("a").alias("a_j"), "s"
+    own = emitting.groupBy("item_id").agg(F.sum("q").alias("s")).select(
+        F.col("item_id").alias("i"), F.col("item_id").alias("j"), "s"
     )
     pairs = _both_ways(_emitted_pairs(emitting)).unionByName(own)
     if heavy:
         weights = {r.user_id: r.q for r in users.where(F.col("user_id").isin(heavy)).collect()}
         pairs = _add_heavy(pairs, rows, [(u, weights[u]) for u in heavy], k)
-    strong = pairs.select("i", "j", "a_i", (F.col("a_j") * (F.col("s") / F.lit(float(UNIT)))).alias("_strength"))
-    return _best(_promising(strong, k), ["i"], F.col("_strength"), "j", k).select(
-        F.col("i").alias("item_i"),
-        F.col("j").alias("item_j"),
-        (F.col("a_i") * F.col("_strength")).alias("similarity"),
-        "rank",
+    partner = items.select(F.col("item_id").alias("j"), F.col("a").alias("a_j"))
+    strong = pairs.join(partner, "j").select("i", "j", (F.col("a_j") * (F.col("s") / F.lit(float(UNIT)))).alias("_strength"))
+    best = _best(_promising(strong, k), ["i"], F.col("_strength"), "j", k)
+    return best.join(items.select(F.col("item_id").alias("i"), "a"), "i").select(
+        F.col("i").alias("item_i"), F.col("j").alias("item_j"), (F.col("a") * F.col("_strength")).alias("similarity"), "rank"
     )
 
 

@@ -210,7 +210,7 @@ def dedupe_lines(docs: DataFrame) -> DataFrame:
     joined = joined.withColumn(cut, F.when(touched, F.split("text", "\n")))
     places = F.sequence(F.lit(0), F.size(cut) - 1)
     kept = F.array_join(F.transform(F.array_except(places, F.col(numbers)), lambda i: F.get(F.col(cut), i)), "\n")
-    counted = F.length("text") - F.length(F.translate("text", "\n", "")) + 1
+    counted = F.octet_length("text") - F.octet_length(F.replace(F.col("text"), F.lit("\n"), F.lit(""))) + 1
     out = joined.withColumns({
         lines: F.coalesce(counted, F.lit(0)).cast("long"),
         dropped: F.when(touched, F.size(numbers)).otherwise(0).cast("long"),

@@ -6,7 +6,7 @@ task. There the candidates are turned into postings, a list of (candidate, weigh
 into a dense array of scores, one place per candidate of the block. A partition selection keeps k
 candidates per query and block, and a window merges the blocks.
 
-Defined results: vectors that are null, empty of meaning (a null or non-finite component) or without an id
+Defined results: vectors that are null, hold a null or non-finite component, or have no id
 take no part. Vectors of different lengths are compared over the components they share. Rows that
 repeat an id are one vector, the smallest by array order. Ties go to the smaller id. Fewer than k
 candidates: all of them. Empty tables: no rows. Columns beside the two named are ignored.

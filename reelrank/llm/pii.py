@@ -73,9 +73,9 @@ def _running(lengths: Column) -> Column:
 
 
 def _placed(values: Column, gaps: Column) -> Column:
-    """array<struct<start, end, value>> of matches, from the matched strings and the lengths between them."""
-    lengths = F.zip_with(F.slice(gaps, 1, F.size(values)), values, lambda g, v: g + F.length(v))
-    gap = lambda i: F.get(gaps, i)
+    """array<struct<start, end, value>> of matches, from the matched strings and what is known of the text between."""
+    lengths = F.zip_with(F.slice(gaps, 1, F.size(values)), values, lambda g, v: g["n"] + F.length(v))
+    gap = lambda i: F.get(gaps, i)["n"]
     placed = F.zip_with(values, _running(lengths), lambda v, s: F.struct(s.alias("s"), v.alias("v")))
     return F.transform(
         placed,
@@ -154,20 +154,29 @@ def _base_spans(number: int, kind: str) -> Column:
 
 
 def _candidates(number: int, kind: str) -> Column:
-    def proposed(m: Column) -> Column:
-        at = F.greatest(F.lit(0), m["start"] - BEFORE)
-        before = F.substr(F.col("text"), (at + 1).cast("int"), (m["start"] - at).cast("int"))
-        after = F.substr(F.col("text"), (m["end"] + 1).cast("int"), F.lit(AFTER))
-        features = _features(kind, m["value"], before, after)
+    between = F.col(f"gg_{kind}")
+
+    def proposed(m: Column, i: Column) -> Column:
+        features = _features(kind, m["value"], F.get(between, i)["tail"], F.get(between, i + 1)["head"])
         return F.struct(m["start"].alias("start"), F.lit(number).alias("kind"), m["end"].alias("end"), *features)
 
     return F.transform(f"g_{kind}", proposed)
 
 
+def _in_blocks(base: Column) -> Column:
+    """Sorted spans in blocks with their first start and last end, so that a search skips most of them."""
+    last = F.greatest(F.lit(0), F.floor((F.size(base) - 1) / STRIDE).cast("int"))
+    cut = F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(base, b * STRIDE + 1, STRIDE))
+    low = lambda b: F.array_min(F.transform(b, lambda s: s["start"]))
+    high = lambda b: F.array_max(F.transform(b, lambda s: s["end"]))
+    return F.transform(cut, lambda b: F.struct(low(b).alias("low"), high(b).alias("high"), b.alias("spans")))
+
+
 def find(docs: DataFrame) -> DataFrame:
-    """doc_id, base array<struct<start, kind, end>>, candidates array<struct<start, kind, end, features...>>.
+    """doc_id, base array<struct<start, kind, end>>, the same in blocks, candidates array<struct<start, kind, end, features...>>.
 
-    ``kind`` is the place in KINDS, so an array sorts by start and then kind.
+    ``kind`` is the place in KINDS, so an array sorts by start and then kind. A candidate's surroundings reach to
+    the next match of its generator at most; they are taken from the text between matches, so the work is linear.
     """
     df = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     signs = F.contains("text", F.lit("@")) | F.col("text").rlike(r"[(\[](?:at|AT)[)\]]")
@@ -178,18 +187,24 @@ def find(docs: DataFrame) -> DataFrame:
         gate = F.col("sign" if kind == "email" else "digit")
         none = F.array().cast("array<string>")
         found = F.when(gate, F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).otherwise(none)
-        between = F.transform(F.when(gate, F.split("text", pattern, -1)).otherwise(none), F.length)
+        between = F.transform(
+            F.when(gate, F.split("text", pattern, -1)).otherwise(none),
+            lambda g: F.struct(F.length(g).alias("n"), F.right(g, F.lit(BEFORE)).alias("tail"), F.left(g, F.lit(AFTER)).alias("head")),
+        )
         raw |= {f"{role}v_{kind}": found, f"{role}g_{kind}": between}
     df = df.withColumns(raw)
     df = df.withColumns({f"{r}_{k}": _placed(F.col(f"{r}v_{k}"), F.col(f"{r}g_{k}")) for r, k in patterns})
     base = [_base_spans(number, kind) for number, kind in enumerate(KINDS)]
     candidates = [_candidates(number, kind) for number, kind in enumerate(KINDS)]
-    return df.select("doc_id", F.array_sort(F.concat(*base)).alias("base"), F.concat(*candidates).alias("candidates"))
+    df = df.select("doc_id", F.array_sort(F.concat(*base)).alias("base"), F.concat(*candidates).alias("candidates"))
+    return df.select("doc_id", "base", _in_blocks(F.col("base")).alias("blocks"), "candidates")
 
 
-def _on_base(candidate: Column, base: Column) -> Column:
-    same = lambda b: (b["kind"] == candidate["kind"]) & (b["start"] < candidate["end"]) & (b["end"] > candidate["start"])
-    return F.exists(base, same)
+def _on_base(candidate: Column, blocks: Column) -> Column:
+    meets = lambda s: (s["start"] < candidate["end"]) & (s["end"] > candidate["start"])
+    same = lambda s: (s["kind"] == candidate["kind"]) & meets(s)
+    near = lambda b: (b["low"] < candidate["end"]) & (b["high"] > candidate["start"])
+    return F.exists(blocks, lambda b: near(b) & F.exists(b["spans"], same))
 
 
 @dataclass(frozen=True)
@@ -229,9 +244,9 @@ def _nested(node, weight: float):
 
 def fit(found: DataFrame, sample: int = SAMPLE) -> Model:
     """Trees and thresholds from at most ``sample`` candidates of a stored ``find`` result."""
-    rows = found.select("doc_id", "base", F.explode("candidates").alias("c"))
+    rows = found.select("doc_id", "blocks", F.explode("candidates").alias("c"))
     rows = rows.select(
-        F.xxhash64("doc_id").alias("h"), "c.*", _on_base(F.col("c"), F.col("base")).cast("double").alias("label")
+        F.xxhash64("doc_id").alias("h"), "c.*", _on_base(F.col("c"), F.col("blocks")).cast("double").alias("label")
     )
     rows = rows.orderBy(F.xxhash64("h", "start", "kind"), *rows.columns).limit(sample)
     rows = materialize(rows.select("kind", *FEATURES, "label", (F.pmod("h", F.lit(10)) < 7).alias("learn")).coalesce(1))
@@ -259,7 +274,7 @@ def personal_data(docs: DataFrame) -> DataFrame:
     """doc_id, base and added spans, array<struct<start, kind, end>> each, sorted; one row per row of ``docs``."""
     found = materialize(find(docs))
     model = fit(found)
-    fresh = lambda c: model.accepts(c) & ~_on_base(c, F.col("base"))
+    fresh = lambda c: model.accepts(c) & ~_on_base(c, F.col("blocks"))
     span = lambda c: F.struct(c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end"))
     added = F.transform(F.filter("candidates", fresh), span)
     return found.select("doc_id", "base", F.array_sort(added).alias("added"))

@@ -47,7 +47,7 @@ CHUNK = 8192
 VISITORS = 32_768
 #: A node of a task's tree with fewer members is compared whole; cells compared at once.
 SMALL = 24
-CELLS = 1 << 21
+CELLS = 1 << 17
 #: Shingles counted at once.
 STEP = 1 << 16
 

@@ -15,7 +15,7 @@ def fresh(df: DataFrame, name: str) -> str:
 
 
 #: Rows that a Python worker is sent at once; documents may be long.
-ARROW_ROWS = "1024"
+ARROW_ROWS = "512"
 
 
 def in_small_batches(df: DataFrame) -> DataFrame:

@@ -27,6 +27,8 @@ from reelrank.llm.frames import blocks, in_small_batches
 from reelrank.llm.tokens import Encoder, Scheme, in_parts
 from reelrank.session import materialize
 
+#: Words remembered by a worker; fewer than elsewhere, since earlier stages have filled the executors' memory.
+REMEMBERED = 500_000
 #: Pieces packed together in one task.
 GROUP = 8192
 
@@ -46,7 +48,7 @@ def pieces(docs: DataFrame, tokenizer: str, scheme: Scheme, end_id: int, size: i
     """doc_id, piece, start, length, ids_crc32 (and ids): every document's ids and ``end_id``, cut at ``size``."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, end = Encoder(tokenizer, scheme), np.array([end_id], dtype="<u4").tobytes()
+        encoder, end = Encoder(tokenizer, scheme, REMEMBERED), np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             texts, doc_ids = batch["text"].tolist(), batch["doc_id"].array
             for part in in_parts(texts):

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from itertools import islice
 from struct import pack
 
-#: Strings remembered by one worker process; beyond it the newer half is forgotten.
+#: Strings remembered by one worker process (about 110 bytes each); beyond it the newer half is forgotten.
 REMEMBERED = 1_000_000
 #: Longer strings are not remembered as a whole.
 LONGEST = 48
@@ -88,7 +88,8 @@ class _Known(dict):
 class Encoder:
     """``ids(texts)``: per text its ids as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, path: str, scheme: Scheme) -> None:
+    def __init__(self, path: str, scheme: Scheme, remembered: int = REMEMBERED) -> None:
+        self.remembered = remembered
         # One memory for all tasks of a worker process.
         memories = sys.__dict__.setdefault("_reelrank_token_memories", {})
         key = (path, scheme.pattern)
@@ -104,8 +105,8 @@ class Encoder:
         return b"".join(map(self.known.__getitem__, self.scheme.runs(text, self.known.cut)))
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
-        if len(self.known) > REMEMBERED:  # what was met first is frequent
-            kept = list(islice(self.known.items(), REMEMBERED // 2))
+        if len(self.known) > self.remembered:  # what was met first is frequent
+            kept = list(islice(self.known.items(), self.remembered // 2))
             self.known.clear()
             self.known.update(kept)
         return [self.one(t or "") for t in texts]

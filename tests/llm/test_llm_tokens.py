@@ -38,7 +38,7 @@ def test_whole_documents_and_long_words(both, spark, sf_dir, odd_rows):
 
 def test_forgetting_changes_nothing(both, spark, sf_dir, monkeypatch):
     encoder, library = both
-    monkeypatch.setattr(tokens, "REMEMBERED", 50)
+    monkeypatch.setattr(encoder, "remembered", 50)
     for r in spark.read.parquet(f"{sf_dir}/documents.parquet").limit(20).collect():
         assert np.frombuffer(encoder.ids([r["text"]])[0], "<u4").tolist() == ids(library, r["text"])
 

@@ -4,7 +4,7 @@ A byte-pair tokenizer cuts a text into pieces (words, marks, white space) and en
 itself. Remembering the ids of a piece, and of the run of pieces up to the next space, gives the ids
 of the whole text several times faster than encoding it anew. The shortcut is taken for texts over an
 alphabet (ASCII and western European letters) in which Python's character classes are the tokenizer's;
-any other text goes to the library whole.
+any other text, and any that holds one of the tokenizer's added tokens, goes to the library whole.
 """
 
 from __future__ import annotations
@@ -62,6 +62,10 @@ class _Known(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.cut = re.compile(scheme.pattern).findall
+        # The library looks for these before it cuts a text; those it seeks in the lowered text are met in any case.
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        each = [f"(?i:{re.escape(t.content)})" if t.normalized else re.escape(t.content) for t in added]
+        self.added = re.compile("|".join(each)).search if each else lambda text: None
         # The model sees bytes as printable letters; the library says which.
         letters = [chr(c) for c in range(33, 0x17F) if ALPHABET(chr(c))]
         shown = self.tokenizer.pre_tokenizer.pre_tokenize_str
@@ -99,7 +103,7 @@ class Encoder:
         self.whole = self.known.whole
 
     def one(self, text: str) -> bytes:
-        if not ALPHABET(text):
+        if not ALPHABET(text) or self.known.added(text):
             return self.whole(text)
         text = text.lower() if self.scheme.lower else text
         return b"".join(map(self.known.__getitem__, self.scheme.runs(text, self.known.cut)))

@@ -29,6 +29,17 @@ def test_ids_are_the_librarys(both, text):
     assert np.frombuffer(encoder.ids([text])[0], "<u4").tolist() == ids(library, text)
 
 
+ADDED = ["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|", "endoftext", "|>", " ", "\n", "a", "'s", "1", ".", "é", "Σ"]
+
+
+@settings(max_examples=400, deadline=None)
+@given(text=st.lists(st.sampled_from(ADDED)).map("".join))
+def test_added_tokens_are_the_librarys(both, text):
+    encoder, library = both
+    for t in (text, f"a {text}<|endoftext|> b<|startoftext|>"):
+        assert np.frombuffer(encoder.ids([t])[0], "<u4").tolist() == ids(library, t)
+
+
 def test_whole_documents_and_long_words(both, spark, sf_dir, odd_rows):
     encoder, library = both
     texts = [r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()] + [t for _, t in odd_rows]

@@ -11,8 +11,8 @@ of a line as it is, so only lines that share a hashed half with another line (of
 variants. What the join finds is verified on the words. Of alike lines the earliest stays, by (doc_id,
 hash of the text, line number); a line goes if any earlier line, kept or not, is alike.
 
-Defined results: a null text stays null and has no lines. Lines of fewer than MIN_WORDS words are left
-alone. Rows of one doc_id and one text are one document, their lines judged alike; null doc_ids come last. A
+Defined results: a null text stays null and has no lines. Blank lines are left alone, and lines of fewer
+words than ``min_words`` (MIN_WORDS: every line with a word is compared). Rows of one doc_id and one text are one document, their lines judged alike; null doc_ids come last. A
 document all of whose lines go keeps its row, with an empty text. Other columns pass through.
 """
 
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from reelrank.llm.frames import fresh, in_small_batches, sent
 from reelrank.session import materialize
 
-MIN_WORDS = 4
+MIN_WORDS = 1
 NEAR_WORDS = 8
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 LINE = ["doc", "body", "line"]
@@ -45,7 +45,7 @@ def _identity(doc_id: str, text: str) -> list[Column]:
     return [F.coalesce(F.col(doc_id).cast("long"), last).alias("doc"), F.xxhash64(text).alias("body")]
 
 
-def _hashed_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _hashed_lines(batches: Iterator[pd.DataFrame], min_words: int) -> Iterator[pd.DataFrame]:
     """One row per line that counts: its place, 128 bits of hash of its words, and hashes of its halves.
 
     Halves are hashed for partners as long or one word longer (of ``n``), and one word shorter (of ``n - 1``).
@@ -57,7 +57,7 @@ def _hashed_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for number, raw in enumerate(text.encode("utf-8", "replace").split(b"\n")):
                 words = raw.split()
                 n = len(words)
-                if n < MIN_WORDS:
+                if n < max(1, min_words):
                     continue
                 at.append(row)
                 line.append(number)
@@ -85,11 +85,11 @@ def _hashed_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 HALVES = ["k0", "k1", "k2", "k3"]
 
 
-def lines_of(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def lines_of(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """doc, body, line, two hashes of the words (h, g) and the halves, for every line that counts."""
     rows = docs.where(F.col(text).isNotNull()).select(*_identity(doc_id, text), F.col(text).alias("text"))
     schema = "doc long, body long, line int, h long, g long, k0 long, k1 long, k2 long, k3 long"
-    return in_small_batches(rows).mapInPandas(_hashed_lines, schema)
+    return in_small_batches(rows).mapInPandas(lambda batches: _hashed_lines(batches, min_words), schema)
 
 
 def _partnered(distinct: DataFrame) -> DataFrame:
@@ -180,9 +180,9 @@ def near_lines(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     return live.join(dropped, LINE, "left_semi").select("h", "g")
 
 
-def repeated_lines(docs: DataFrame) -> DataFrame:
+def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """doc, body, line of every line that goes."""
-    lines = materialize(lines_of(docs))
+    lines = materialize(lines_of(docs, min_words=min_words))
     first = F.min(F.struct(*LINE)).alias("first")
     distinct = lines.groupBy("h", "g").agg(first, F.count(F.lit(1)).alias("n"), *[F.max(k).alias(k) for k in HALVES])
     distinct = materialize(distinct)
@@ -192,14 +192,14 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     return found.where(F.col("near").isNotNull() | (F.struct(*LINE) != F.col("first"))).select(*LINE)
 
 
-def dedupe_lines(docs: DataFrame) -> DataFrame:
+def dedupe_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` (doc_id, text, ...) with the later of alike lines taken out of ``text``, and two counts.
 
     Added: ``lines`` and ``dropped_lines`` (underscores before a name that is taken).
     """
     doc, body, numbers = fresh(docs, "doc"), fresh(docs, "body"), fresh(docs, "numbers")
     lines, dropped = fresh(docs, "lines"), fresh(docs, "dropped_lines")
-    gone = _per_document(repeated_lines(docs)).withColumnsRenamed({"doc": doc, "body": body, "numbers": numbers})
+    gone = _per_document(repeated_lines(docs, min_words)).withColumnsRenamed({"doc": doc, "body": body, "numbers": numbers})
     identity = _identity("doc_id", "text")
     named = docs.withColumns({doc: identity[0], body: identity[1]})
     # The hint stays with the small side.

@@ -25,9 +25,13 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"), everything.alias("spans"))
 
 
+#: Words from which OP2's SQL compares a line.
+OP2_WORDS = 4
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the lines that an earlier line equals or nearly equals."""
-    made = line_dedup.dedupe_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    made = line_dedup.dedupe_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"), OP2_WORDS)
     return made.select("doc_id", "lines", "dropped_lines", F.sha2("text", 256).alias("text_sha256"))
 
 

@@ -86,3 +86,11 @@ def test_odd_rows(make_docs, odd_rows):
 def test_document_that_loses_all_lines_stays(make_docs):
     got = line_dedup.dedupe_lines(make_docs([(2, "a b c d e"), (1, "a b  c d e"), (None, "a b c d e\nx")], clashing=False)).collect()
     assert {r["doc_id"]: (r["text"], r["lines"], r["dropped_lines"]) for r in got} == {1: ("a b  c d e", 1, 0), 2: ("", 1, 1), None: ("x", 2, 1)}
+
+
+def test_short_lines_repeat_too(make_docs):
+    rows = [(1, "Les.\nsee more\n\n\n一行沒有空格的文字"), (2, "Les.\n  see  more \n\n\n一行沒有空格的文字\nLes!"), (3, "see\nLes.")]
+    got = {r["doc_id"]: (r["text"], r["dropped_lines"]) for r in line_dedup.dedupe_lines(make_docs(rows, clashing=False)).collect()}
+    assert got == {1: (rows[0][1], 0), 2: ("\n\nLes!", 3), 3: ("see", 1)}
+    kept = line_dedup.dedupe_lines(make_docs(rows), 4).collect()
+    assert {r["doc_id"]: r["text"] for r in kept} == dict(rows)

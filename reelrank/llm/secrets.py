@@ -36,9 +36,10 @@ KEYS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{12,}")
-DIGIT = re.compile(r"[0-9]")
 #: Bounds of the fit: distinct strings per automaton; fewer than SUPPORT teach nothing.
 SAMPLE, SUPPORT = 400, 20
+#: Plain tokens learnt from, drawn by occurrence, so that a name met often weighs as often.
+PLAIN = 2_000
 #: Confidence of the compatibility test, and the probability given to what an automaton has never seen.
 ALPHA, UNSEEN = 0.05, 1e-4
 #: Share of held-out credentials that a threshold may miss.
@@ -66,16 +67,14 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
 
 
 def candidates(text: str, base: list[tuple[int, int, int, str]]) -> list[tuple[int, int, str]]:
-    """Tokens of the credential alphabet with a digit that lie on no base span."""
-    if not DIGIT.search(text):
-        return []
+    """Tokens of the credential alphabet that lie on no base span."""
     out, at = [], 0
     ends = sorted((s, e) for s, _, e, _ in base)
     for m in CANDIDATE.finditer(text):
         while at < len(ends) and ends[at][1] <= m.start():
             at += 1
         clear = all(s >= m.end() or e <= m.start() for s, e in ends[at : at + 4])
-        if clear and DIGIT.search(m.group()):
+        if clear:
             out.append((m.start(), m.end(), m.group()))
     return out
 
@@ -210,7 +209,7 @@ class Grammars:
 
 
 def fit(found: DataFrame, sample: int = SAMPLE) -> Grammars:
-    """Automata from at most ``sample`` distinct strings of each kind of a stored ``find`` result."""
+    """Automata from at most ``sample`` distinct strings of each kind, and PLAIN tokens, of a stored ``find`` result."""
 
     def drawn(values: DataFrame) -> list[str]:
         first = values.distinct().orderBy(F.xxhash64("value"), "value").limit(sample)
@@ -218,8 +217,10 @@ def fit(found: DataFrame, sample: int = SAMPLE) -> Grammars:
 
     labelled = found.select(F.explode(F.arrays_zip("base", "values")).alias("z"))
     labelled = labelled.select(F.col("z.base.kind").alias("kind"), F.col("z.values").alias("value"))
-    plain = found.select(F.explode("candidates").alias("c")).select(F.col("c.value").alias("value"))
-    return Grammars([drawn(labelled.where(F.col("kind") == k).select("value")) for k in range(len(KINDS))], drawn(plain))
+    plain = found.select("doc_id", F.explode("candidates").alias("c")).select("doc_id", "c.start", "c.value")
+    plain = plain.orderBy(F.xxhash64("doc_id", "start", "value"), "value").limit(PLAIN)
+    tokens = [r["value"] for r in plain.select("value").collect()]
+    return Grammars([drawn(labelled.where(F.col("kind") == k).select("value")) for k in range(len(KINDS))], tokens)
 
 
 def secrets(docs: DataFrame) -> DataFrame:

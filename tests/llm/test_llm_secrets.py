@@ -73,6 +73,17 @@ def test_adds_what_has_the_format(make_docs):
     assert not any(out[200 + i]["added"] for i in range(120))
 
 
+def test_adds_credentials_without_a_digit(make_docs):
+    rng = random.Random(5)
+    key = lambda: "ky_" + "".join(rng.choice("QXZJKVWYqxzjkvwy") for _ in range(30))
+    rows = [(i, f"uses token = {key()} here") for i in range(120)]
+    rows += [(200 + i, f"an uncharacteristically {'very-' * (1 + i % 9)}long-winded telecommunication{'s' * (i % 2)}") for i in range(120)]
+    rows += [(500 + i, f"found {key()} there") for i in range(20)]
+    out = {r["doc_id"]: r for r in secrets.secrets(make_docs(rows)).collect()}
+    hit = [i for i in range(500, 520) if [(s["start"], s["kind"], s["end"]) for s in out[i]["added"]] == [(6, 0, 39)]]
+    assert len(hit) >= 15 and not any(out[200 + i]["added"] for i in range(120))
+
+
 def test_odd_rows(make_docs, odd_rows):
     out = secrets.secrets(make_docs(odd_rows)).collect()
     assert len(out) == len(odd_rows) and not any(r["added"] for r in out)

@@ -4,14 +4,15 @@ Exact patterns with their checks give the base spans. Generators of high recall
 overlapping spans: addresses with spelt-out signs, digit groups with other separators or without a
 plus, dotted numbers. Boosted trees score each candidate by its format and its surroundings; they learn
 from candidates on base spans (personal data) against the others, without seeing what the exact checks
-look at (check digit, leading plus). A threshold per kind is calibrated on documents kept out of the fit.
+look at (check digit, leading plus). A threshold per kind is calibrated on all documents kept out of the fit.
 Candidates above it are added; base spans always stay.
 
 One pass over the texts finds spans and candidates per document as arrays; nothing is shuffled by
 document. The trees become CASE expressions, evaluated where the candidates lie.
 
 Defined results: a null or empty text has no spans. Null or repeated doc_ids are rows like any other.
-Without candidates of both classes nothing is added. Positions are code points, end exclusive. Extra
+Without candidates of both classes nothing is added, nor to a kind with fewer than SUPPORT true candidates
+kept out of the fit. Positions are code points, end exclusive. Extra
 columns are ignored.
 """
 
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -243,17 +245,26 @@ def _nested(node, weight: float):
 
 
 def fit(found: DataFrame, sample: int = SAMPLE) -> Model:
-    """Trees and thresholds from at most ``sample`` candidates of a stored ``find`` result."""
+    """Trees from at most ``sample`` candidates of a stored ``find`` result, thresholds from all that are kept out of the fit.
+
+    Each kind and label gives as many candidates at most, so that none takes another's place.
+    """
     rows = found.select("doc_id", "blocks", F.explode("candidates").alias("c"))
     rows = rows.select(
         F.xxhash64("doc_id").alias("h"), "c.*", _on_base(F.col("c"), F.col("blocks")).cast("double").alias("label")
     )
-    rows = rows.orderBy(F.xxhash64("h", "start", "kind"), *rows.columns).limit(sample)
-    rows = materialize(rows.select("kind", *FEATURES, "label", (F.pmod("h", F.lit(10)) < 7).alias("learn")).coalesce(1))
-    counts = {(r["learn"], r["label"]): r["n"] for r in rows.groupBy("learn", "label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not counts.get((True, 0.0)) or not counts.get((True, 1.0)):
+    place = F.xxhash64("h", "start", "kind").alias("place")
+    rows = materialize(rows.select(place, "kind", *FEATURES, "label", (F.pmod("h", F.lit(10)) < 7).alias("learn")))
+    share = sample // (2 * len(KINDS))
+    drawn = [
+        rows.where(F.col("learn") & (F.col("kind") == kind) & (F.col("label") == label)).orderBy("place", *FEATURES).limit(share)
+        for kind in range(len(KINDS))
+        for label in (0.0, 1.0)
+    ]
+    learnt = materialize(reduce(DataFrame.unionAll, drawn).select(*FEATURES, "label").coalesce(1))
+    if learnt.select("label").distinct().count() < 2:
         return Model((), {})
-    vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows.where("learn"))
+    vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(learnt)
     booster = GBTClassifier(featuresCol="features", labelCol="label", maxIter=TREES, maxDepth=DEPTH, maxBins=32, seed=7)
     fitted = booster.fit(vectors.select("features", "label"))
     trees = tuple(_nested(t._java_obj.rootNode(), w) for t, w in zip(fitted.trees, fitted.treeWeights, strict=True))

@@ -3,9 +3,9 @@
 Exact patterns give the base spans, which are the labelled credentials of three kinds. From a bounded sample
 of each kind a prefix tree over character classes is built and its statistically compatible states are
 merged (ALERGIA: a Hoeffding bound on every transition and ending) into a probabilistic automaton; another one is
-learnt from tokens that are no credentials. Every candidate token of all documents is scored by its mean
-log-likelihood under each kind's automaton less that under the plain one. Candidates that score like the kind's
-own held-out credentials are added; base spans always stay.
+learnt from a sample of tokens that are no credentials. Every candidate token of all documents is scored by its mean
+log-likelihood under each kind's automaton less that under the plain one. Candidates that score like all the
+kind's credentials that were not learnt from are added; base spans always stay.
 
 One pass over the texts finds spans and candidates; the scores read only those.
 
@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from math import log, sqrt
+from math import floor, log, sqrt
 
 import numpy as np
 import pandas as pd
@@ -44,6 +44,8 @@ PLAIN = 2_000
 ALPHA, UNSEEN = 0.05, 1e-4
 #: Share of held-out credentials that a threshold may miss.
 MISSED = 0.01
+#: Bins a unit of score when held-out credentials are counted.
+BINS = 1_000
 
 SPAN = "struct<start:bigint,kind:int,end:bigint>"
 FOUND = f"doc_id long, base array<{SPAN}>, values array<string>, candidates array<struct<start:bigint,end:bigint,value:string>>"
@@ -182,18 +184,33 @@ class Automaton:
 
 
 class Grammars:
-    """The automata of the kinds and of plain tokens, and the score each kind asks for."""
+    """The automata of the kinds and of plain tokens, and, calibrated, the score each kind asks for."""
 
     def __init__(self, credentials: list[list[str]], plain: list[str]) -> None:
         self.plain = Automaton([symbols(v) for v in plain]) if len(plain) >= SUPPORT else None
-        self.kinds, self.bars = {}, {}
+        self.kinds, self.learnt, self.bars = {}, {}, {}
         for kind, values in enumerate(credentials):
             if len(values) < SUPPORT:
                 continue
-            strings = [symbols(v) for v in values]
-            self.kinds[kind] = Automaton(strings[::2])
-            scores = sorted(self._score(kind, s) for s in strings[1::2])
-            self.bars[kind] = max(0.0, scores[int(MISSED * len(scores))])
+            self.kinds[kind] = Automaton([symbols(v) for v in values[::2]])
+            self.learnt[kind] = set(values[::2])
+
+    def held_out(self, kind: int, value: str) -> int | None:
+        """The bin of a labelled credential's score, none if its kind's automaton has learnt from it."""
+        if kind not in self.kinds or value in self.learnt[kind]:
+            return None
+        return floor(self._score(kind, symbols(value)) * BINS)
+
+    def calibrate(self, bins: list[tuple[int, int, int]]) -> None:
+        """Bars from (kind, bin, number) of all held-out credentials: the edge below all but MISSED of them."""
+        for kind in self.kinds:
+            own = sorted((b, n) for k, b, n in bins if k == kind)
+            left = int(MISSED * sum(n for _, n in own))
+            for b, n in own:
+                if left < n:
+                    self.bars[kind] = max(0.0, b / BINS)
+                    break
+                left -= n
 
     def _score(self, kind: int, string: str) -> float:
         # Without plain tokens every symbol is as likely as any other of the 64.
@@ -204,12 +221,12 @@ class Grammars:
         """The kind the value's format is most likely of, if it scores as credentials do."""
         string = symbols(value)
         scores = {k: self._score(k, string) for k in self.kinds}
-        passed = {k: s for k, s in scores.items() if s >= self.bars[k]}
+        passed = {k: s for k, s in scores.items() if k in self.bars and s >= self.bars[k]}
         return max(passed, key=lambda k: (passed[k], -k)) if passed else None
 
 
 def fit(found: DataFrame, sample: int = SAMPLE) -> Grammars:
-    """Automata from at most ``sample`` distinct strings of each kind, and PLAIN tokens, of a stored ``find`` result."""
+    """Automata from at most ``sample`` distinct strings of each kind and PLAIN tokens of a stored ``find`` result, bars from all."""
 
     def drawn(values: DataFrame) -> list[str]:
         first = values.distinct().orderBy(F.xxhash64("value"), "value").limit(sample)
@@ -220,7 +237,16 @@ def fit(found: DataFrame, sample: int = SAMPLE) -> Grammars:
     plain = found.select("doc_id", F.explode("candidates").alias("c")).select("doc_id", "c.start", "c.value")
     plain = plain.orderBy(F.xxhash64("doc_id", "start", "value"), "value").limit(PLAIN)
     tokens = [r["value"] for r in plain.select("value").collect()]
-    return Grammars([drawn(labelled.where(F.col("kind") == k).select("value")) for k in range(len(KINDS))], tokens)
+    grammars = Grammars([drawn(labelled.where(F.col("kind") == k).select("value")) for k in range(len(KINDS))], tokens)
+
+    @F.pandas_udf("long")
+    def binned(kinds: pd.Series, values: pd.Series) -> pd.Series:
+        return pd.Series([grammars.held_out(k, v) for k, v in zip(kinds, values, strict=True)], dtype="Int64")
+
+    # All distinct credentials but the learnt ones; the driver gets counts of bins only.
+    counted = labelled.distinct().select("kind", binned("kind", "value").alias("bin")).where("bin is not null")
+    grammars.calibrate([(r["kind"], r["bin"], r["n"]) for r in counted.groupBy("kind", "bin").agg(F.count(F.lit(1)).alias("n")).collect()])
+    return grammars
 
 
 def secrets(docs: DataFrame) -> DataFrame:

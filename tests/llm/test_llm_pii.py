@@ -89,6 +89,14 @@ def test_boosting_adds_what_looks_alike(labelled):
     assert all(not rows[i]["added"] for i in range(150) if i % 50)
 
 
+def test_a_hot_source_takes_no_kind_its_threshold(make_docs):
+    rows = [(i, f"please call phone {'+' if i % 50 else ''}1 (555) 010-{1000 + i} today") for i in range(300)]
+    rows += [(1000 + i, f"order no. {10_000_000 + 7 * i} shipped") for i in range(300)]
+    rows += [(2000 + i, " ".join(str(4_000_000_000_000_000 + 1000 * i + j) for j in range(400))) for i in range(20)]
+    found = pii.find(make_docs(rows)).cache()
+    assert 3 in pii.fit(found, sample=800).thresholds
+
+
 def test_no_python_on_the_main_path(labelled):
     plan = pii.find(labelled)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Exchange" not in plan

@@ -84,6 +84,16 @@ def test_adds_credentials_without_a_digit(make_docs):
     assert len(hit) >= 15 and not any(out[200 + i]["added"] for i in range(120))
 
 
+def test_bars_come_from_all_credentials_not_learnt(make_docs):
+    for seed in (8, 10, 11):
+        rng = random.Random(seed)
+        keys = ["".join(rng.choice("0123456789ABCXYZabcxyz") for _ in range(rng.randint(12, 40))) for _ in range(1500)]
+        rows = [(i, f"the token = {k} of documentation{'s' * (i % 5)}") for i, k in enumerate(keys)]
+        grammars = secrets.fit(secrets.find(make_docs(rows)), sample=40)
+        missed = sum(grammars._score(0, secrets.symbols(k)) < grammars.bars[0] for k in keys)
+        assert 0.005 * len(keys) <= missed <= 0.01 * len(keys) + 2  # few of the learnt ones, if any
+
+
 def test_odd_rows(make_docs, odd_rows):
     out = secrets.secrets(make_docs(odd_rows)).collect()
     assert len(out) == len(odd_rows) and not any(r["added"] for r in out)

@@ -68,4 +68,57 @@ SELECT d.doc_id, count(*) AS lines, count(g.line) AS dropped_lines,
 FROM split d LEFT JOIN gone g ON d.doc_id = g.doc_id AND d.line = g.line GROUP BY d.doc_id
 """
 
-ORACLES = {"op2_line_dedup": OP2, "op4_topk": OP4, "op8_chat": OP8}
+#: CTEs for crc32 of decimal ids: ``checks`` (doc_id, h), its table of 256 entries made by the rule.
+CHECKS = r"""
+table_256 AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_concat([i], range(8)), lambda c, x: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS c
+    FROM (SELECT unnest(range(256)) AS i))
+), checks AS (
+  SELECT doc_id, xor(4294967295, list_reduce(
+           list_concat([4294967295], list_transform(regexp_extract_all(CAST(doc_id AS VARCHAR), '.'), lambda x: CAST(ascii(x) AS BIGINT))),
+           lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS h
+  FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL), table_256
+)
+"""
+
+# Three words that agree with the three p words on begin every run, so pairs are joined on trigrams.
+OP13 = f"""
+WITH {CHECKS}, raw AS (
+  SELECT row_number() OVER () AS r, doc_id, h,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0b\f\r]+'), lambda w: w <> '') AS w
+  FROM documents LEFT JOIN checks USING (doc_id)
+), measured AS (
+  SELECT *, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a, h // 10 AS g FROM raw
+), planted AS (
+  SELECT r, doc_id, CASE WHEN a IS NULL THEN w ELSE list_transform(range(len(w)),
+           lambda i: CASE WHEN i >= a THEN w[a + (i - a) % (1 + (len(w) - a) // (3 + g % 8)) + 1] ELSE w[i + 1] END) END AS w
+  FROM measured
+), words AS (
+  SELECT r, unnest(range(len(w))) AS i, unnest(w) AS x FROM planted
+), grams AS (
+  SELECT r, i, x || ' ' || lead(x, 1) OVER k || ' ' || lead(x, 2) OVER k AS x, count(*) OVER (PARTITION BY r) AS n
+  FROM words WINDOW k AS (PARTITION BY r ORDER BY i)
+), pairs AS (
+  SELECT a.r, a.i, b.i - a.i AS p FROM grams a JOIN grams b ON a.r = b.r AND a.x = b.x AND a.i < b.i
+  WHERE 4 * (b.i - a.i) <= a.n
+), stretches AS (
+  SELECT r, p, min(i) AS start, count(*) + 2 + p AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY r, p ORDER BY i) AS island FROM pairs) GROUP BY r, p, island
+), found AS (
+  SELECT r, start, length, min(p) AS p FROM stretches WHERE length >= greatest(6, 4 * p) GROUP BY r, start, length
+), kept AS (
+  SELECT w.r, string_agg(w.x, ' ' ORDER BY w.i) AS s FROM words w
+  WHERE NOT EXISTS (SELECT 1 FROM found f WHERE f.r = w.r AND w.i >= f.start + f.p AND w.i < f.start + f.length) GROUP BY w.r
+), best AS (
+  SELECT r, start, length, p FROM found QUALIFY row_number() OVER (PARTITION BY r ORDER BY length DESC, start, p) = 1
+), listed AS (
+  SELECT r, count(*) AS n, string_agg(start || ',' || length || ',' || p || chr(10), '' ORDER BY start, p) AS s FROM found GROUP BY r
+)
+SELECT d.doc_id, CAST(coalesce(l.n, 0) AS BIGINT) AS n_runs, CAST(b.start AS BIGINT) AS start, CAST(b.length AS BIGINT) AS length,
+       CAST(b.p AS BIGINT) AS period, CAST(1000 * b.length // b.p AS BIGINT) AS exponent_milli,
+       sha256(coalesce(l.s, '')) AS runs_sha256, sha256(coalesce(k.s, '')) AS collapsed_sha256
+FROM planted d LEFT JOIN listed l USING (r) LEFT JOIN best b USING (r) LEFT JOIN kept k USING (r)
+"""
+
+ORACLES = {"op2_line_dedup": OP2, "op4_topk": OP4, "op8_chat": OP8, "op13_runs": OP13}

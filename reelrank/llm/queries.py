@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelrank.llm import chat, decontaminate, line_dedup, packing, pii, quality, secrets, simhash, token_codes, tokens, topk
+from reelrank.llm import chat, decontaminate, line_dedup, packing, pii, quality, runs, secrets, simhash, token_codes, tokens, topk
 from reelrank.llm.frames import sha256_of
 from reelrank.session import shared_folder
 
@@ -118,6 +118,35 @@ def op10_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_codes.read(spark, path)
 
 
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text), where crc32(doc_id) ends in 0 with words from some place on repeating a shorter stretch."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    numbers = docs.withColumn("_h", h).withColumn("_w", F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != ""))
+    sized = numbers.withColumn("_n", F.size("_w").cast("long")).withColumn("_g", F.expr("_h div 10"))
+    placed = sized.withColumn("_a", F.when(F.col("_n") > 0, F.expr("_g % _n")))
+    placed = placed.withColumn("_p", F.expr("1 + (_n - _a) div (3 + _g % 8)"))
+    made = F.expr("""array_join(concat(slice(_w, 1, int(_a)),
+        slice(flatten(array_repeat(slice(_w, int(_a + 1), int(_p)), int((_n - _a) div _p + 1))), 1, int(_n - _a))), ' ')""")
+    return placed.select("doc_id", F.when(F.expr("_h % 10 = 0 AND _n > 0"), made).otherwise(F.col("text")).alias("text"))
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of all documents, and their texts without the repetitions."""
+    found = runs.periodic_runs(with_planted_periods(_table(spark, sf_dir, "documents").select("doc_id", "text")))
+    written = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    lines = F.array_join(F.transform(written, lambda line: F.concat(line, F.lit("\n"))), "")
+    return found.withColumn("best", runs.longest(F.col("runs"))).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_line_dedup": op2_line_dedup,
@@ -129,4 +158,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat": op8_chat,
     "op9_packing": op9_packing,
     "op10_token_codes": op10_token_codes,
+    "op13_runs": op13_runs,
 }

@@ -82,6 +82,59 @@ table_256 AS (
 )
 """
 
+OP12 = f"""
+WITH RECURSIVE {CHECKS}, rows_ AS (
+  SELECT doc_id, coalesce('+' || source, '') AS tree, text, h,
+         list_aggregate(list_transform([CAST(doc_id AS VARCHAR), source, lang, CAST(n_chars AS VARCHAR)],
+           lambda x: coalesce(strlen(x) || ':' || x, '-')), 'string_agg', '') AS front
+  FROM documents LEFT JOIN checks USING (doc_id)
+), leaves AS (
+  SELECT row_number() OVER () AS r, doc_id, tree, sha256(front || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         CASE WHEN h % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS altered, front
+  FROM rows_
+), placed AS (
+  SELECT r, doc_id, tree, leaf, sha256(front || coalesce(strlen(altered) || ':' || altered, '-')) AS given,
+         row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS nth, count(*) OVER (PARTITION BY tree) AS n
+  FROM leaves
+), lower_ AS (
+  SELECT 0 AS level, tree, nth, leaf AS digest, n FROM placed
+  UNION ALL
+  SELECT level + 1, tree, nth // 3, sha256(string_agg(digest, '' ORDER BY nth)), (n + 2) // 3
+  FROM lower_ WHERE n > 1 GROUP BY level, tree, nth // 3, n
+), subroots AS (
+  SELECT tree, level, digest, row_number() OVER (ORDER BY tree) - 1 AS nth, count(*) OVER () AS n FROM lower_ WHERE n = 1
+), upper_ AS (
+  SELECT 0 AS level, nth, digest, n FROM subroots
+  UNION ALL
+  SELECT level + 1, nth // 3, sha256(string_agg(digest, '' ORDER BY nth)), (n + 2) // 3 FROM upper_ WHERE n > 1 GROUP BY level, nth // 3, n
+), steps AS (
+  SELECT p.r, l.level, l.nth < p.nth // CAST(pow(3, l.level) AS BIGINT) AS before, l.nth, l.digest
+  FROM placed p JOIN lower_ l
+    ON l.tree = p.tree AND l.n > 1 AND l.nth // 3 = p.nth // CAST(pow(3, l.level + 1) AS BIGINT) AND l.nth <> p.nth // CAST(pow(3, l.level) AS BIGINT)
+  UNION ALL
+  SELECT p.r, s.level + u.level, u.nth < s.nth // CAST(pow(3, u.level) AS BIGINT), u.nth, u.digest
+  FROM placed p JOIN subroots s USING (tree) JOIN upper_ u
+    ON u.n > 1 AND u.nth // 3 = s.nth // CAST(pow(3, u.level + 1) AS BIGINT) AND u.nth <> s.nth // CAST(pow(3, u.level) AS BIGINT)
+), sides AS (
+  SELECT r, level, coalesce(string_agg(digest, '' ORDER BY nth) FILTER (before), '') AS b,
+         coalesce(string_agg(digest, '' ORDER BY nth) FILTER (NOT before), '') AS a
+  FROM steps GROUP BY r, level
+), heights AS (
+  SELECT p.r, s.level + (SELECT max(level) FROM upper_) AS height, s.digest AS subroot FROM placed p JOIN subroots s USING (tree)
+), climbed AS (
+  SELECT r, 0 AS level, given AS digest FROM placed
+  UNION ALL
+  SELECT c.r, c.level + 1, sha256(coalesce(s.b, '') || c.digest || coalesce(s.a, ''))
+  FROM climbed c JOIN heights h ON c.r = h.r AND c.level < h.height LEFT JOIN sides s ON s.r = c.r AND s.level = c.level
+), proofs AS (
+  SELECT r, sha256(string_agg(b || a, '' ORDER BY level)) AS proof FROM sides GROUP BY r
+)
+SELECT p.doc_id, p.leaf, h.subroot, t.digest AS root, coalesce(f.proof, sha256('')) AS proof_sha256, c.digest AS folded_root,
+       c.digest = t.digest AS verified
+FROM placed p JOIN heights h USING (r) JOIN climbed c ON c.r = p.r AND c.level = h.height LEFT JOIN proofs f ON f.r = p.r
+CROSS JOIN (SELECT digest FROM upper_ WHERE n = 1) t
+"""
+
 # Three words that agree with the three p words on begin every run, so pairs are joined on trigrams.
 OP13 = f"""
 WITH {CHECKS}, raw AS (
@@ -121,4 +174,4 @@ SELECT d.doc_id, CAST(coalesce(l.n, 0) AS BIGINT) AS n_runs, CAST(b.start AS BIG
 FROM planted d LEFT JOIN listed l USING (r) LEFT JOIN best b USING (r) LEFT JOIN kept k USING (r)
 """
 
-ORACLES = {"op2_line_dedup": OP2, "op4_topk": OP4, "op8_chat": OP8, "op13_runs": OP13}
+ORACLES = {"op2_line_dedup": OP2, "op4_topk": OP4, "op8_chat": OP8, "op12_merkle": OP12, "op13_runs": OP13}

@@ -8,9 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelrank.llm import chat, decontaminate, line_dedup, packing, pii, quality, runs, secrets, simhash, token_codes, tokens, topk
+from reelrank.llm import chat, decontaminate, line_dedup, merkle, packing, pii, quality, runs, secrets, simhash, token_codes, tokens, topk
 from reelrank.llm.frames import sha256_of
-from reelrank.session import shared_folder
+from reelrank.session import materialize, shared_folder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -118,6 +118,21 @@ def op10_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_codes.read(spark, path)
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest of all documents by source, and the proof of every document, of half of them tampered with."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    fields = [F.col(c) for c in docs.columns]
+    altered = F.replace("text", F.lit("\n"), F.lit(""))
+    tampered = (F.crc32(F.col("doc_id").cast("string")) % 2 == 0) & F.contains("text", F.lit("\n"))
+    leaves = docs.withColumn("digest", merkle.digest(*fields)).select(
+        "doc_id", "source", "digest", F.when(tampered, merkle.digest(*fields[:-1], altered)).otherwise(F.col("digest")).alias("given")
+    )
+    found = merkle.proofs(merkle.manifest(materialize(leaves), "source", ["doc_id"]))
+    made = found.withColumns({"proof_sha256": merkle.path_digest(F.col("path")), "folded_root": merkle.folded(F.col("given"), F.col("path"))})
+    verified = (F.col("folded_root") == F.col("root")).alias("verified")
+    return made.select("doc_id", F.col("digest").alias("leaf"), "subroot", "root", "proof_sha256", "folded_root", verified)
+
+
 def with_planted_periods(docs: DataFrame) -> DataFrame:
     """``docs`` (doc_id, text), where crc32(doc_id) ends in 0 with words from some place on repeating a shorter stretch."""
     h = F.crc32(F.col("doc_id").cast("string"))
@@ -158,5 +173,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat": op8_chat,
     "op9_packing": op9_packing,
     "op10_token_codes": op10_token_codes,
+    "op12_merkle": op12_merkle,
     "op13_runs": op13_runs,
 }

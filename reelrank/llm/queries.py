@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelrank.llm import chat, decontaminate, line_dedup, merkle, packing, pii, quality, runs, secrets, simhash, token_codes, tokens, topk
+from reelrank.llm import chat, decontaminate, language, line_dedup, merkle, packing, pii, quality, runs, secrets, simhash, token_codes, tokens, topk
 from reelrank.llm.frames import sha256_of
 from reelrank.session import materialize, shared_folder
 
@@ -118,6 +118,14 @@ def op10_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_codes.read(spark, path)
 
 
+def op11_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents, learnt from those that are not held out."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.fit(docs.where(~language.held_out(F.col("doc_id"))))
+    found = docs.withColumn("found", language.predictor(model)(F.col("text")))
+    return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), F.col("found.lang").alias("lang_pred"), "found.score")
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Manifest of all documents by source, and the proof of every document, of half of them tampered with."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
@@ -173,6 +181,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat": op8_chat,
     "op9_packing": op9_packing,
     "op10_token_codes": op10_token_codes,
+    "op11_language": op11_language,
     "op12_merkle": op12_merkle,
     "op13_runs": op13_runs,
 }

@@ -96,14 +96,29 @@ def presence(some: list[np.ndarray]) -> np.ndarray:
 
 
 def features(texts: list[str | None], landmarks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Mean kernel row of every text's windows against the landmarks (places x landmarks), and whether it has a letter."""
-    cut = [windows(codes) if len(codes := symbols(t)) else [] for t in texts]
-    owner = np.repeat(np.arange(len(texts)), [len(c) for c in cut])
-    every = [w for c in cut for w in c]
-    out = np.zeros((len(texts), landmarks.shape[1]), dtype=np.float64)
-    for low in range(0, len(every), ROWS):
-        np.add.at(out, owner[low : low + ROWS], presence(every[low : low + ROWS]) @ landmarks)
-    counts = np.bincount(owner, minlength=len(texts))
+    """Mean kernel row of every text's windows against the landmarks (places x landmarks), and whether it has a letter.
+
+    ``ROWS`` windows are held at a time, beside the symbols of one text.
+    """
+    out, counts = np.zeros((len(texts), landmarks.shape[1])), np.zeros(len(texts), dtype=np.int64)
+    owners: list[int] = []
+    held: list[np.ndarray] = []
+
+    def multiply() -> None:
+        np.add.at(out, owners, presence(held) @ landmarks)
+        owners.clear()
+        held.clear()
+
+    for k, text in enumerate(texts):
+        codes = symbols(text)
+        for window in windows(codes) if len(codes) else []:
+            counts[k] += 1
+            owners.append(k)
+            held.append(window)
+            if len(held) == ROWS:
+                multiply()
+    if held:
+        multiply()
     return out / np.maximum(1, counts)[:, None], counts > 0
 
 

@@ -34,6 +34,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from reelrank.llm.frames import sent
+from reelrank.session import materialize
+
 #: Bounds of the fit: labelled documents used, and windows that stand for all texts.
 SAMPLE = 3_000
 LANDMARKS = 120
@@ -170,11 +173,11 @@ def solve(kernel: np.ndarray, labels: np.ndarray, languages: int, among: np.ndar
 def _evenly(labelled: DataFrame, most: int) -> DataFrame:
     """At most ``most`` rows, as even over the languages as they allow, by least hash.
 
-    Of a language with many rows only a share of the hashes is looked at, some four times ``most`` rows, so that
-    what meets in one window does not grow with the rows.
+    Of a language with many rows only a share of the hashes is looked at, some one and a half times ``most`` rows, so
+    what meets in one window does not grow with the rows. The rows themselves are not dealt out by language.
     """
-    share = labelled.groupBy("lang").agg((4.0 * most / F.count(F.lit(1))).alias("_share"))
-    some = labelled.join(share, "lang").where(F.pmod("_h", F.lit(1 << 40)) < F.col("_share") * (1 << 40))
+    share = materialize(labelled.groupBy("lang").agg((1.5 * most / F.count(F.lit(1))).alias("_share")))
+    some = labelled.join(sent(share, share.count()), "lang").where(F.pmod("_h", F.lit(1 << 40)) < F.col("_share") * (1 << 40))
     by_hash = Window.partitionBy("lang").orderBy("_h", "_t")
     placed = some.withColumn("_place", F.row_number().over(by_hash)).where(F.col("_place") <= most)
     return placed.orderBy("_place", "lang", "_h", "_t").limit(most)
@@ -185,7 +188,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE, landmarks: int = LANDMARKS) -> Mo
     known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").rlike(r"\p{L}"))
     known = known.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), "lang")
     keys = known.select("doc_id", "lang", F.xxhash64("doc_id").alias("_h"), F.xxhash64("text").alias("_t"))
-    chosen = _evenly(keys, sample).withColumn("_nth", F.monotonically_increasing_id())
+    chosen = materialize(_evenly(keys, sample).withColumn("_nth", F.monotonically_increasing_id()))
     # At most ``sample`` rows, so the texts need not move; a text is told by its hash, equal ones are one sample.
     held = F.broadcast(chosen.groupBy("doc_id", "lang", "_t").agg(F.min("_nth").alias("_nth")))
     texts = known.withColumn("_t", F.xxhash64("text")).join(held, ["doc_id", "lang", "_t"]).select("doc_id", "text", "lang", "_nth")

@@ -35,6 +35,7 @@ class Config:
     top_n: int = coldstart.TOP_N
     seed: int = training.SEED
     rounds: int = ranker.ROUNDS
+    loss: str = "grouped"
     als_iterations: int = 15
 
 
@@ -139,7 +140,7 @@ def train(prepared: Prepared, config: Config = PRODUCTION) -> Trained:
     table = table.join(sample.select("user_id", "item_id", "label"), ["user_id", "item_id"])
     table = table.join(split.where(F.col("part") == "train"), "user_id", "left_semi")
     numeric = training.numeric_features(table.columns, "als")
-    model = ranker.fit_ranker(table, numeric, rounds=config.rounds, seed=config.seed)
+    model = ranker.fit_ranker(table, numeric, rounds=config.rounds, seed=config.seed, loss=config.loss)
     return Trained(model, numeric, materialize(without_hits), split)
 
 

@@ -80,6 +80,17 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Remove a table that ``materialize`` made and nothing reads any more."""
+    spark = df.sparkSession
+    if _folder(spark) is None:
+        df.unpersist()
+        return
+    for path in {name.rpartition("/")[0] for name in df.inputFiles() if f"/{_PREFIX}{spark.sparkContext.applicationId}/" in name}:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def discard_stored(spark: SparkSession) -> None:
     """Remove the tables this application has stored; call it when the results of a job are written."""
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{_PREFIX}{spark.sparkContext.applicationId}")

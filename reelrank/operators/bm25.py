@@ -9,27 +9,23 @@ S(i, j) is the sum of b_u^2 over the common users. It is kept in whole units of
 does not depend on the order in which rows arrive: a task that is run again gives the same bits,
 and the neighbours of an item do not flip between ties.
 
-Volume. A user with n_u items stands for n_u^2 / 2 pairs. Ordinary users emit them, cut into blocks
-so that no join key holds more than about ``BLOCK``^2, and each task sums its pairs before the
-shuffle. The MAX_HEAVY heaviest users beyond ``heavy_history`` items emit no pair at all: each only
-adds b_u^2 to every pair inside its history, so items fall into classes by which of these users saw
-them, and S between two classes is one number. The K best partners an item can owe to them alone are
-found once per class.
+Sums and neighbours come from ``gram``: blocks of items to which histories are sent, never pairs.
 """
 
 from __future__ import annotations
 
 import math
-import sys
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark import cloudpickle
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from reelrank.operators.skew import HotKeys, hot_keys, skew_join
+from reelrank.operators import gram
+from reelrank.operators.gram import ranges
+from reelrank.operators.skew import hot_keys, number_all, skew_join
 from reelrank.session import materialize
 
 # Neighbours kept, term saturation, length normalisation.
@@ -38,18 +34,16 @@ K1 = 1.1
 B = 0.4
 
 UNIT = 100_000_000
-# Step of a strength of 0, below that of every positive double.
-NO_STEP = -100_000
-BLOCK = 512
-HEAVY_HISTORY = 4096
-# Blocks of the history x similarity product: log rows, similarities; score cells and products held at a time.
-LOG_BLOCK = 4_000_000
-SIM_BLOCK = 4_000_000
+# Blocks of the history x similarity product: similarities a task holds and products it makes, bytes of a log row, a
+# similarity and a row of a list as they are sent; score cells and products held at a time.
+HELD = 16_000_000
+TASK_PRODUCTS = 10_000_000_000
+ROW_BYTES = 8
+SIM_BYTES = 16
+LIST_BYTES = 24
 SCORE_CELLS = 4_000_000
 PRODUCTS = 2_000_000
 SCORE_DIGITS = 9
-# Users treated by class; 2^MAX_HEAVY - 1 classes at most, so every table over classes is bounded.
-MAX_HEAVY = 8
 
 
 def _item_side(log: DataFrame, k1: float, b: float) -> DataFrame:
@@ -77,264 +71,175 @@ def item_weights(log: DataFrame, k1: float = K1, b: float = B) -> DataFrame:
     return both.select("user_id", "item_id", (F.col("a") * F.col("b")).alias("weight"))
 
 
-def _emitted_pairs(rows: DataFrame) -> DataFrame:
-    """S over the users that emit pairs: (i, j, s) for i < j, summed map-side first.
-
-    The items of a user are spread over blocks of about BLOCK; a join key is one pair of blocks. The
-    weights of the items are joined to the sums later, so they do not travel with the pairs.
-    """
-    blocks = F.ceil(F.col("n_u") / BLOCK).cast("int")
-    placed = rows.withColumn("_blocks", blocks).withColumn("_at", F.pmod(F.xxhash64("item_id"), F.col("_blocks")).cast("int"))
-    low = placed.select(
-        "user_id",
-        F.col("_at").alias("_lo"),
-        F.explode(F.sequence("_at", F.col("_blocks") - 1)).alias("_hi"),
-        F.col("item_id").alias("x"),
-        "q",
-    )
-    high = placed.select(
-        "user_id",
-        F.explode(F.sequence(F.lit(0), "_at")).alias("_lo"),
-        F.col("_at").alias("_hi"),
-        F.col("item_id").alias("y"),
-    )
-    # Both sides are as large as the log; a broadcast of one would only look cheap on a small file.
-    pairs = low.join(high.hint("merge"), ["user_id", "_lo", "_hi"]).where((F.col("_lo") < F.col("_hi")) | (F.col("x") < F.col("y")))
-    return pairs.groupBy(F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j")).agg(F.sum("q").alias("s"))
-
-
-def _both_ways(pairs: DataFrame) -> DataFrame:
-    flipped = F.struct(F.col("j").alias("i"), F.col("i").alias("j"))
-    return pairs.select(F.explode(F.array(F.struct("i", "j"), flipped)).alias("p"), "s").select("p.*", "s")
-
-
-def _best(pairs: DataFrame, by: list[str], strength: Column, other: str, k: int) -> DataFrame:
-    """The k strongest per key, ties by the lower ``other``."""
-    order = Window.partitionBy(*by).orderBy(F.desc("_strength"), other)
-    return (
-        pairs.withColumn("_strength", strength)
-        .withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= k)
-    )
-
-
-def _promising(pairs: DataFrame, k: int) -> DataFrame:
-    """Drop the pairs that cannot be among the k strongest of ``i``, so only the rest is sorted.
-
-    Strengths are counted per item in steps of an eighth of a power of two; the step that holds
-    the k-th strongest is the bar, and every pair from that step on stays.
-    """
-    stepped = pairs.withColumn(
-        "_step", F.when(F.col("_strength") > 0, F.floor(F.log2("_strength") * 8)).otherwise(NO_STEP).cast("int")
-    )
-    above = Window.partitionBy("i").orderBy(F.desc("_step")).rowsBetween(Window.unboundedPreceding, -1)
-    bars = (
-        stepped.groupBy("i", "_step")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_above", F.coalesce(F.sum("_n").over(above), F.lit(0)))
-        .where(F.col("_above") < k)
-        .groupBy("i")
-        .agg(F.min("_step").alias("_bar"))
-    )
-    return stepped.join(bars, "i").where(F.col("_step") >= F.col("_bar")).drop("_step", "_bar")
-
-
-def _class_weights(classes: DataFrame, heavy: list[tuple[int, int]]) -> DataFrame:
-    """S between two classes: the b^2 of the heavy users they share. At most 255 x 255 rows."""
-    bits = F.explode(
-        F.array(*[F.struct(F.lit(1 << n).alias("bit"), F.lit(q).alias("q")) for n, (_, q) in enumerate(heavy)])
-    )
-    held = (
-        classes.select("class").distinct().select("class", bits.alias("h"))
-        .where(F.col("class").bitwiseAND(F.col("h.bit")) != 0)
-        .select("class", "h.bit", "h.q")
-    )
-    return (
-        held.join(held.select(F.col("class").alias("class_2"), "bit"), "bit")
-        .groupBy("class", "class_2")
-        .agg(F.sum("q").alias("shared"))
-    )
-
-
-def _add_heavy(pairs: DataFrame, rows: DataFrame, heavy: list[tuple[int, int]], k: int) -> DataFrame:
-    """Add what the heavy users contribute to S, and the partners an item has through them alone.
-
-    For an item without a common emitting user, a partner's strength is a_j * S(class, class_j).
-    The k best of that list, once per class, are enough: each of them is at least as strong as
-    any partner left out, whatever the emitting users add to it.
-    """
-    bit = F.lit(0)
-    for n, (user, _) in enumerate(heavy):
-        bit = F.when(F.col("user_id") == user, 1 << n).otherwise(bit)
-    # Ids are unique per user, so the sum of the bits is the set of heavy users of the item.
-    classes = (
-        rows.where(F.col("user_id").isin([u for u, _ in heavy]))
-        .groupBy("item_id", "a")
-        .agg(F.sum(bit).cast("int").alias("class"))
-    )
-    weights = F.broadcast(_class_weights(classes, heavy))
-    strongest = _best(classes, ["class"], F.col("a"), "item_id", k)
-    per_class = _best(
-        weights.join(
-            strongest.select(F.col("class").alias("class_2"), F.col("item_id").alias("j"), F.col("a").alias("a_j")),
-            "class_2",
-        ),
-        ["class"],
-        F.col("a_j") * F.col("shared"),
-        "j",
-        k,
-    ).select("class", "j")
-    through_heavy = classes.join(F.broadcast(per_class), "class").select(
-        F.col("item_id").alias("i"), "j", F.lit(0).cast("bigint").alias("s")
-    )
-    merged = pairs.unionByName(through_heavy).groupBy("i", "j").agg(F.sum("s").alias("s"))
-    class_i = classes.select(F.col("item_id").alias("i"), "class")
-    class_j = classes.select(F.col("item_id").alias("j"), F.col("class").alias("class_2"))
-    return (
-        merged.join(class_i, "i", "left")
-        .join(class_j, "j", "left")
-        .join(weights, ["class", "class_2"], "left")
-        .select("i", "j", (F.col("s") + F.coalesce("shared", F.lit(0))).alias("s"))
-    )
-
-
-def _heaviest(hot_users: HotKeys) -> list[int]:
-    """At most MAX_HEAVY users."""
-    if not hot_users:
-        return []
-    return [r[0] for r in hot_users.table.orderBy(F.desc("_n"), "user_id").limit(MAX_HEAVY).collect()]
-
-
 def item_similarity(
-    log: DataFrame,
-    k: int = NEIGHBOURS,
-    k1: float = K1,
-    b: float = B,
-    heavy_history: int = HEAVY_HISTORY,
+    log: DataFrame, k: int = NEIGHBOURS, k1: float = K1, b: float = B, sizes: gram.Sizes = gram.Sizes()
 ) -> DataFrame:
     """The k most similar items of every item, itself included: (item_i, item_j, similarity, rank)."""
-    hot_users = hot_keys(log, ["user_id"], heavy_history)
-    users = _user_side(log).select("user_id", "n_u", "b", _units(F.col("b")).alias("q"))
-    with_user = skew_join(log.select("user_id", "item_id"), users, ["user_id"], "inner", hot_users, ["item_id"])
-    # One row per item, read three times.
-    items = materialize(_item_side(log, k1, b))
-    rows = skew_join(with_user, items, ["item_id"], "inner", hot_keys(log, ["item_id"]), ["user_id"])
-
-    heavy = _heaviest(hot_users)
-    emitting = rows.where(~F.col("user_id").isin(heavy)) if heavy else rows
-    own = emitting.groupBy("item_id").agg(F.sum("q").alias("s")).select(
-        F.col("item_id").alias("i"), F.col("item_id").alias("j"), "s"
-    )
-    pairs = _both_ways(_emitted_pairs(emitting)).unionByName(own)
-    if heavy:
-        weights = {r.user_id: r.q for r in users.where(F.col("user_id").isin(heavy)).collect()}
-        pairs = _add_heavy(pairs, rows, [(u, weights[u]) for u in heavy], k)
-    partner = items.select(F.col("item_id").alias("j"), F.col("a").alias("a_j"))
-    strong = pairs.join(partner, "j").select("i", "j", (F.col("a_j") * (F.col("s") / F.lit(float(UNIT)))).alias("_strength"))
-    best = _best(_promising(strong, k), ["i"], F.col("_strength"), "j", k)
-    return best.join(items.select(F.col("item_id").alias("i"), "a"), "i").select(
-        F.col("i").alias("item_i"), F.col("j").alias("item_j"), (F.col("a") * F.col("_strength")).alias("similarity"), "rank"
-    )
-
-
-def _slices(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Positions start .. start + length - 1 of all slices, one after another."""
-    ends = np.cumsum(lengths)
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)
+    counted = log.groupBy("item_id").agg(F.count(F.lit(1)).alias("n"))
+    # Numbers in the order of the ids, so ties fall the same way.
+    items = materialize(number_all(counted, "item_id", "idx").withColumn("idx", (F.col("idx") - 1).cast("int")))
+    n_items, mean = items.agg(F.count(F.lit(1)), F.avg("n")).first()
+    if not n_items:
+        return log.sparkSession.createDataFrame([], "item_i bigint, item_j bigint, similarity double, rank int")
+    rows = skew_join(log.select("user_id", "item_id"), items, ["item_id"], "inner", hot_keys(log, ["item_id"]), ["user_id"])
+
+    def length(n):
+        """Length normalisation of an item with n users."""
+        return (k1 + 1) / (k1 * (1 - b + b * n / mean) + 1)
+
+    def strength(s, n):
+        return length(n) * (s / float(UNIT))
+
+    def weight(n_u: Column) -> Column:
+        return _units(F.log(F.lit(float(n_items))) - F.log(1.0 + n_u))
+
+    best = gram.best_partners(rows.select("user_id", "idx", "n"), n_items, k, weight, strength, sizes)
+    first = items.select(F.col("idx").alias("i"), F.col("item_id").alias("item_i"), length(F.col("n")).alias("a"))
+    second = items.select(F.col("idx").alias("j"), F.col("item_id").alias("item_j"))
+    return best.join(first, "i").join(second, "j").select("item_i", "item_j", (F.col("a") * F.col("strength")).alias("similarity"), "rank")
+
+
+class _Near:
+    """Similarities of one block of target items, by source item."""
+
+    def __init__(self, source: np.ndarray, target: np.ndarray, value: np.ndarray) -> None:
+        order = np.lexsort((target, source))
+        self.sources, at = np.unique(source[order], return_index=True)
+        self.at = np.append(at, len(source))
+        self.targets, self.column = np.unique(target[order], return_inverse=True)
+        self.value = value[order]
+
+    def lists(self, users: np.ndarray, first: np.ndarray, item: np.ndarray, n: int) -> pd.DataFrame:
+        """Best n unseen items of this block for every user; user u has ``item[first[u]:first[u + 1]]``, ascending."""
+        found = []
+        width = len(self.targets)
+        step = max(1, SCORE_CELLS // max(1, width))
+        for low in range(0, len(users) if width else 0, step):
+            height = len(users[low : low + step])
+            some = slice(first[low], first[low + height])
+            rows = np.repeat(np.arange(height), np.diff(first[low : low + height + 1]))
+            source = np.minimum(np.searchsorted(self.sources, item[some]), len(self.sources) - 1)
+            length = np.where(self.sources[source] == item[some], self.at[source + 1] - self.at[source], 0)
+            score = np.zeros(height * width)
+            known = np.zeros(height * width, dtype=bool)
+            # Added up slice by slice, also inside one user, so memory does not follow the histories.
+            upto = np.cumsum(length)
+            cuts = np.searchsorted(upto, np.arange(0, upto[-1] if len(upto) else 0, PRODUCTS), side="left")
+            for begin, end in zip(cuts, [*cuts[1:], len(length)]):
+                part = slice(begin, end)
+                entry = ranges(self.at[source[part]], length[part])
+                cell = np.repeat(rows[part] * width, length[part]) + self.column[entry]
+                np.add.at(score, cell, self.value[entry])
+                known[cell] = True
+            target = np.minimum(np.searchsorted(self.targets, item[some]), width - 1)
+            own = self.targets[target] == item[some]
+            known[(rows * width + target)[own]] = False
+            score = score.reshape(height, width)
+            rank_by = np.where(known.reshape(height, width), np.round(score, SCORE_DIGITS), -np.inf)
+            least = np.partition(rank_by, width - n, axis=1)[:, width - n] if width > n else np.full(height, -np.inf)
+            row, col = np.nonzero((rank_by >= least[:, None]) & np.isfinite(rank_by))
+            best = np.lexsort((col, -rank_by[row, col], row))
+            row, col = row[best], col[best]
+            place = np.arange(len(row)) - np.searchsorted(row, row)
+            # A score halfway between two digits may be rounded the other way by the window that orders the lists.
+            scaled = score * 10**SCORE_DIGITS
+            halfway = np.abs(scaled - np.floor(scaled) - 0.5) < 1e-3
+            unsure = halfway & np.isfinite(rank_by) & (rank_by >= least[:, None] - 1.5 * 10**-SCORE_DIGITS)
+            unsure[row[place < n], col[place < n]] = False
+            more = np.nonzero(unsure)
+            row, col = np.concatenate([row[place < n], more[0]]), np.concatenate([col[place < n], more[1]])
+            found.append(pd.DataFrame({"user_id": users[low + row], "item_id": self.targets[col], "score": score[row, col]}))
+        if not found:
+            return pd.DataFrame({"user_id": np.zeros(0, "int64"), "item_id": np.zeros(0, "int64"), "score": np.zeros(0)})
+        return pd.concat(found)
 
 
 def _block_lists(history: pd.DataFrame, near: pd.DataFrame, n: int) -> pd.DataFrame:
-    """Best n unseen items of this block for every user of this block."""
-    found = []
-    near = near.sort_values(["item_i", "item_j"], kind="stable")
-    sources, at = np.unique(near["item_i"].to_numpy(), return_index=True)
-    at = np.append(at, len(near))
-    targets, column = np.unique(near["item_j"].to_numpy(), return_inverse=True)
-    value = near["similarity"].to_numpy()
+    """Best n unseen items of this block for every user of ``history``."""
     history = history.sort_values(["user_id", "item_id"], kind="stable")
-    user, item = history["user_id"].to_numpy(), history["item_id"].to_numpy()
-    users, first = np.unique(user, return_index=True)
-    first = np.append(first, len(user))
-    width = len(targets)
-    step = max(1, SCORE_CELLS // max(1, width))
-    for low in range(0, len(users) if width else 0, step):
-        some = slice(first[low], first[min(low + step, len(users))])
-        rows = np.searchsorted(users[low : low + step], user[some])
-        height = len(users[low : low + step])
-        source = np.minimum(np.searchsorted(sources, item[some]), len(sources) - 1)
-        length = np.where(sources[source] == item[some], at[source + 1] - at[source], 0)
-        score = np.zeros(height * width)
-        known = np.zeros(height * width, dtype=bool)
-        # Added up slice by slice, also inside one user, so memory does not follow the histories.
-        upto = np.cumsum(length)
-        cuts = np.searchsorted(upto, np.arange(0, upto[-1] if len(upto) else 0, PRODUCTS), side="left")
-        for begin, end in zip(cuts, [*cuts[1:], len(length)]):
-            part = slice(begin, end)
-            entry = _slices(at[source[part]], length[part])
-            cell = np.repeat(rows[part] * width, length[part]) + column[entry]
-            np.add.at(score, cell, value[entry])
-            known[cell] = True
-        target = np.minimum(np.searchsorted(targets, item[some]), width - 1)
-        own = targets[target] == item[some]
-        known[(rows * width + target)[own]] = False
-        score = score.reshape(height, width)
-        rank_by = np.where(known.reshape(height, width), np.round(score, SCORE_DIGITS), -np.inf)
-        least = np.partition(rank_by, width - n, axis=1)[:, width - n] if width > n else np.full(height, -np.inf)
-        row, col = np.nonzero((rank_by >= least[:, None]) & np.isfinite(rank_by))
-        best = np.lexsort((col, -rank_by[row, col], row))
-        row, col = row[best], col[best]
-        place = np.arange(len(row)) - np.searchsorted(row, row)
-        # A score halfway between two digits may be rounded the other way by the window that orders the lists.
-        scaled = score * 10**SCORE_DIGITS
-        halfway = np.abs(scaled - np.floor(scaled) - 0.5) < 1e-3
-        unsure = halfway & np.isfinite(rank_by) & (rank_by >= least[:, None] - 1.5 * 10**-SCORE_DIGITS)
-        unsure[row[place < n], col[place < n]] = False
-        more = np.nonzero(unsure)
-        row, col = np.concatenate([row[place < n], more[0]]), np.concatenate([col[place < n], more[1]])
-        found.append(
-            pd.DataFrame({"user_id": users[low + row], "item_id": targets[col], "score": score[row, col]})
-        )
-    if not found:
-        return pd.DataFrame({"user_id": np.zeros(0, "int64"), "item_id": np.zeros(0, "int64"), "score": np.zeros(0)})
-    return pd.concat(found)
-
-
-def neighbour_lists(
-    log: DataFrame, sim: DataFrame, n: int, log_block: int = LOG_BLOCK, sim_block: int = SIM_BLOCK
-) -> DataFrame:
+    users, first = np.unique(history["user_id"].to_numpy(), return_index=True)
+    held = _Near(*(near[c].to_numpy() for c in ("item_i", "item_j", "similarity")))
+    return held.lists(users, np.append(first, len(history)), history["item_id"].to_numpy(), n)
+
+
+def _flat(packed: pa.ListArray, kind: type) -> np.ndarray:
+    return packed.flatten().to_numpy(zero_copy_only=False).astype(kind)
+
+
+def _lists_of(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
+    """Lists of one block: first the similarities, which are held, then histories, batch by batch."""
+    parts: list[tuple[np.ndarray, ...]] = []
+    held = None
+    for batch in batches:
+        ids, items = batch.column("id").to_numpy(zero_copy_only=False), batch.column("items")
+        sizes = items.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        near = int((batch.column("kind").to_numpy(zero_copy_only=False) == 0).sum())
+        if near:
+            packed = batch.slice(0, near)
+            parts.append((np.repeat(ids[:near], sizes[:near]), _flat(packed.column("items"), np.int64), _flat(packed.column("weights"), np.float64)))
+        if near == len(ids):
+            continue
+        if held is None:
+            none = (np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0))
+            held = _Near(*(np.concatenate(c) for c in zip(none, *parts)))
+            parts.clear()
+        first = np.concatenate([[0], np.cumsum(sizes[near:])])
+        found = held.lists(ids[near:], first, _flat(items.slice(near), np.int64), n)
+        yield pa.RecordBatch.from_pandas(found, schema=_LISTS, preserve_index=False)
+
+
+_LISTS = pa.schema([("user_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64())])
+
+
+def grid(
+    log_rows: int, users: int, n: int, similarities: int, items: int, cores: int, held: int = HELD, products: int = TASK_PRODUCTS
+) -> tuple[int, int]:
+    """(user blocks, item blocks) that send least.
+
+    A log row goes to every item block, and every item block sends on n items per user; a similarity goes to every user
+    block. There are as many tasks as keep ``products`` each. For a given number of tasks the bytes are least where both
+    sides send as much; a task holds ``held`` similarities at most.
+    """
+    tasks = max(cores, math.ceil(log_rows * (similarities / max(1, items)) / products))
+    per_item_block = log_rows * ROW_BYTES + users * n * LIST_BYTES
+    balanced = math.sqrt(tasks * similarities * SIM_BYTES / max(1, per_item_block))
+    across = max(1, math.ceil(similarities / held), min(round(balanced), tasks, items))
+    return max(1, math.ceil(tasks / across)), across
+
+
+def neighbour_lists(log: DataFrame, sim: DataFrame, n: int, held: int = HELD, products: int = TASK_PRODUCTS) -> DataFrame:
     """Unseen items with the highest summed similarity to the history: (user_id, item_id, score).
 
     The n best of every user are among the rows; ``sim`` should be a stored table.
 
     history x similarity is a matrix product with K terms per log row. Sending those terms through a
-    shuffle costs some hundred times the log, so the product is cut into blocks instead: users into
-    blocks of about ``log_block`` log rows, target items into blocks of about ``sim_block``
-    similarities. A log row is sent once per item block, a similarity once per user block, both as
-    plain rows; a task adds up its block in memory and hands on n rows per user. A user's history has
-    at most one row per item, and its products are added in slices of bounded size.
+    shuffle costs some hundred times the log, so the product is cut into blocks instead, see ``grid``. Histories are sent
+    as one array per user and item block, similarities as one array per source item and block. A task holds its
+    similarities and reads histories as they come; products are added in slices of bounded size, also inside one user.
+    A history holds an item once, so it is no longer than the catalogue.
     """
-    history = log.select("user_id", "item_id")
     cores = log.sparkSession.sparkContext.defaultParallelism
-    item_blocks = math.ceil(max(1, sim.count()) / sim_block)
-    user_blocks = math.ceil(max(1, history.count()) / log_block)
-    # A small job cuts the items further, until every core has blocks to work on.
-    item_blocks = max(item_blocks, math.ceil(cores / user_blocks))
-    left = history.select(
-        F.pmod(F.xxhash64("user_id"), F.lit(user_blocks)).cast("int").alias("ub"),
-        F.explode(F.sequence(F.lit(0), F.lit(item_blocks - 1))).alias("ib"),
-        "user_id",
-        "item_id",
-    )
-    right = sim.select(
-        F.explode(F.sequence(F.lit(0), F.lit(user_blocks - 1))).alias("ub"),
-        F.pmod(F.xxhash64("item_j"), F.lit(item_blocks)).cast("int").alias("ib"),
-        "item_i",
-        "item_j",
-        "similarity",
-    )
-    keys = ["ub", "ib"]
-    # The block function travels with the job, so workers need no copy of this package.
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
-        lambda h, s: _block_lists(h, s, n), "user_id bigint, item_id bigint, score double"
-    )
+    similarities, items = sim.agg(F.count(F.lit(1)), F.countDistinct("item_i")).first()
+    rows, n_users = log.agg(F.count(F.lit(1)), F.countDistinct("user_id")).first()
+    down, across = grid(rows, n_users, n, similarities, items, cores, held, products)
+    users = log.groupBy("user_id").agg(F.sort_array(F.collect_list("item_id")).alias("items"))
+    user_block = F.pmod(F.xxhash64("user_id"), F.lit(down)).cast("int")
+    histories = users.select(
+        F.explode(F.transform(F.sequence(F.lit(0), F.lit(across - 1)), lambda i: user_block * across + i)).alias("block"),
+        F.lit(1).alias("kind"),
+        F.col("user_id").alias("id"),
+        "items",
+        F.lit(None).cast("array<double>").alias("weights"),
+    )
+    item_block = F.pmod(F.xxhash64("item_j"), F.lit(across)).cast("int").alias("ib")
+    pairs = F.collect_list(F.struct("item_j", "similarity")).alias("e")
+    packed = sim.groupBy(F.col("item_i").alias("id"), item_block).agg(pairs)
+    near = packed.select(
+        F.explode(F.transform(F.sequence(F.lit(0), F.lit(down - 1)), lambda u: u * across + F.col("ib"))).alias("block"),
+        F.lit(0).alias("kind"),
+        "id",
+        F.col("e.item_j").alias("items"),
+        F.col("e.similarity").alias("weights"),
+    )
+    blocks = near.unionByName(histories).repartitionById(down * across, "block").sortWithinPartitions("kind")
+    return blocks.mapInArrow(lambda b: _lists_of(b, n), "user_id bigint, item_id bigint, score double")

@@ -3,13 +3,11 @@
 from __future__ import annotations
 
 import math
-import sys
 from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark import cloudpickle
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +15,7 @@ from pyspark.sql.window import Window
 
 from reelrank.functions.calendar import seconds_of
 from reelrank.operators import bm25
+from reelrank.operators.bm25 import SCORE_DIGITS
 from reelrank.operators.clean import dense_ids, user_watch_counts
 from reelrank.operators.skew import HotKeys, hot_keys, next_in_order, number_rows, skew_join
 from reelrank.session import materialize
@@ -51,18 +50,22 @@ class Budget:
 
 def ordered_top(scores: DataFrame, n: int, out: str = "rank") -> DataFrame:
     """Top n per user by score, ties by the lower item; each task cuts its rows before the shuffle."""
-    order = Window.partitionBy("user_id").orderBy(F.desc(F.round("score", bm25.SCORE_DIGITS)), "item_id")
+    order = Window.partitionBy("user_id").orderBy(F.desc(F.round("score", SCORE_DIGITS)), "item_id")
     return scores.withColumn(out, F.row_number().over(order)).where(F.col(out) <= n)
 
 
 def within_budget(scores: DataFrame, log: DataFrame, budget: Budget) -> DataFrame:
     """Top list per user, its length set by the user's number of watches."""
-    top = ordered_top(scores, budget.longest)
+    return cut_to_budget(ordered_top(scores, budget.longest), log, budget)
+
+
+def cut_to_budget(lists: DataFrame, log: DataFrame, budget: Budget) -> DataFrame:
+    """The start of every list that the budget allows; ``lists`` with ranks, as long as the budget's longest at least."""
+    short = lists.where(F.col("rank") <= budget.longest)
     if budget.few == budget.many:
-        return top
-    # At most ``longest`` rows per user are left here, whatever the size of the history.
+        return short
     allowed = F.when(F.col("n") < budget.threshold, budget.few).otherwise(budget.many)
-    return top.join(user_watch_counts(log), "user_id").where(F.col("rank") <= allowed).drop("n")
+    return short.join(user_watch_counts(log), "user_id").where(F.col("rank") <= allowed).drop("n")
 
 
 def bm25_candidates(log: DataFrame, sim: DataFrame, budget: Budget = Budget()) -> DataFrame:
@@ -231,7 +234,7 @@ def _best_unseen(n: int) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]
             own = ids[low : low + step]
             score = np.stack(users["f"].to_numpy()[low : low + step]).astype(float) @ vectors
             some = slice(*np.searchsorted(seen_by, [own[0], own[-1] + 1]))
-            by = np.round(score, bm25.SCORE_DIGITS)
+            by = np.round(score, SCORE_DIGITS)
             by[np.searchsorted(own, seen_by[some]), place[some]] = -np.inf
             # Everything down to the n-th stays; the window that cuts the lists settles ties by item.
             least = np.partition(by, width - n, axis=1)[:, width - n] if width > n else np.full(len(own), -np.inf)
@@ -288,7 +291,6 @@ def als_candidates(
         F.col("id").alias("item_idx"),
         F.col("features").alias("f"),
     )
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     found = asked.unionByName(struck).groupBy("ub", "ib").cogroup(offered.groupBy("ub", "ib"))
     unseen = found.applyInPandas(_best_unseen(budget.longest), "user_idx int, item_idx int, score double")
     unseen = unseen.withColumnsRenamed({"user_idx": "user_id", "item_idx": "item_id"})

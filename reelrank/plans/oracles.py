@@ -61,16 +61,17 @@ COLUMNS = {
     "user_split": "user_id i, part s",
     "ranker_training_set": "user_id i, item_id i, bucket s, label i",
     "candidate_normalised_scores": "user_id i, item_id i, popularity_rel d, sum_time_rel d, cooc_score_rel d, nn_score_rel d",
-    "bm25_similarity_stats": "user_id i, item_id i, similarity_mean d4, similarity_min d4, similarity_max d4, similarity_std d4, similarity_var d2",
-    "bm25_similarity_stats_purchases": "user_id i, item_id i, similarity_mean d4, similarity_min d4, similarity_max d4, similarity_std d4, similarity_var d0",
-    "factor_similarity_stats": "user_id i, item_id i, als_similarity_mean d4, als_similarity_min d4, als_similarity_max d4, als_similarity_std d4, als_similarity_var d4",
+    "bm25_similarity_stats": "user_id i, item_id i, similarity_mean d, similarity_min d, similarity_max d, similarity_std d, similarity_var d3",
+    # Values to 1e5 and variances to 1e9: ten digits and more that count.
+    "bm25_similarity_stats_purchases": "user_id i, item_id i, similarity_mean d5, similarity_min d5, similarity_max d5, similarity_std d5, similarity_var d1",
+    "factor_similarity_stats": "user_id i, item_id i, als_similarity_mean d, als_similarity_min d, als_similarity_max d, als_similarity_std d, als_similarity_var d",
     "candidate_features": (
         "user_id i, item_id i, cooc_score d, cooc_rank d, nn_score d, nn_rank d, popularity d, popularity_rel d, "
         "approx_duration d, mean_duration d, mean_percentage d, rating_1 d, rating_2 d, rating_3 d, rating_4 d, rating_5 d, "
         "mean_score d, median_score d, std_score d, q25_score d, q75_score d, trend_slope d, watched_in_window d, pub_date d, "
-        "sum_time d, sum_time_rel d, mean_watch_time d, mean_time_rel d, similarity_mean d4, similarity_min d4, "
-        "similarity_max d4, similarity_std d4, similarity_var d2, als_similarity_mean d4, als_similarity_min d4, "
-        "als_similarity_max d4, als_similarity_std d4, als_similarity_var d4, cooc_score_rel d, nn_score_rel d, len_genres d, "
+        "sum_time d, sum_time_rel d, mean_watch_time d, mean_time_rel d, similarity_mean d, similarity_min d, "
+        "similarity_max d, similarity_std d, similarity_var d3, als_similarity_mean d, als_similarity_min d, "
+        "als_similarity_max d, als_similarity_std d, als_similarity_var d, cooc_score_rel d, nn_score_rel d, len_genres d, "
         "text s, staff s, name s, director s, actor s"
     ),
     "cold_start_local": "user_id i, item_id i, rank i",

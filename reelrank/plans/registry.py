@@ -506,9 +506,12 @@ def candidate_recall_by_history(spark, d):
     d1, d2 = _split(_p(spark, d))
     sim = materialize(bm25.item_similarity(d1))
     follow = materialize(candidates.successor_candidates(d1, candidates.successor_pairs(d1)))
+    # Lists of the longest budget; a shorter one is the start of them.
+    longest = max(b.longest for b in RECALL_BUDGETS.values())
+    near = materialize(candidates.bm25_candidates(d1, sim, Budget(longest, longest, 0)))
     found = None
     for name, budget in RECALL_BUDGETS.items():
-        union = candidates.candidate_union(follow, candidates.bm25_candidates(d1, sim, budget), "cooc")
+        union = candidates.candidate_union(follow, candidates.cut_to_budget(near, d1, budget), "cooc")
         recall = evaluate.candidate_recall_by_history(union, d1, d2, None).withColumn("budget", F.lit(name))
         found = recall if found is None else found.unionByName(recall)
     return found

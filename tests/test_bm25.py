@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from reelrank.operators import bm25
+from reelrank.operators import bm25, gram
 from reelrank.session import materialize
 
 K = 7
@@ -69,16 +69,62 @@ def test_similarity(log, watched):
     same(collected(bm25.item_similarity(log, K)), neighbours(watched, K))
 
 
-def test_similarity_in_small_blocks(log, watched, monkeypatch):
-    monkeypatch.setattr(bm25, "BLOCK", 3)
-    same(collected(bm25.item_similarity(log, K)), neighbours(watched, K))
+# Many blocks; some items hot, their users shared out among tasks; all items hot.
+@pytest.mark.parametrize("sizes", [gram.Sizes(sums=40, at_once=7), gram.Sizes(products=300, at_once=3), gram.Sizes(products=10)])
+def test_similarity_in_small_blocks(log, watched, sizes):
+    same(collected(bm25.item_similarity(log, K, sizes=sizes)), neighbours(watched, K))
+
+
+def test_no_log_no_neighbours(log):
+    assert bm25.item_similarity(log.limit(0)).count() == 0
+
+
+def test_no_pairs_are_sent(log):
+    """Histories go to blocks of items; a log row is copied once per block at most, and nothing is grouped by pair."""
+    plan = bm25.item_similarity(log, K)._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "Aggregate" not in plan and "Window" not in plan
+
+
+def test_sparse_sums():
+    rng = np.random.default_rng(5)
+    sums, want = gram.SparseSums(50), {}
+    for _ in range(40):
+        codes, values = rng.integers(0, 100, 17), rng.integers(0, 1 << 50, 17)
+        sums.add(codes, values)
+        for c, v in zip(codes.tolist(), values.tolist()):
+            want[c] = want.get(c, 0) + v
+    sums.settle()
+    assert dict(zip(sums.codes.tolist(), sums.values.tolist())) == want
+
+
+SIMILARITY_MEMORY = """
+import resource
+import numpy as np, pyarrow as pa
+from reelrank.operators import gram
+rng = np.random.default_rng(1)
+items, blocks = 200_000, 2000
+def batches():
+    for _ in range(40):
+        history = np.sort(rng.integers(0, items, (500, 2000)), axis=1)
+        history[:, 0] = 0
+        flat = history.ravel()
+        at = pa.array(np.arange(501, dtype=np.int32) * 2000)
+        yield pa.RecordBatch.from_arrays([
+            pa.array(np.zeros(500, dtype=np.int32)), pa.array(np.full(500, -1, dtype=np.int32)), pa.array(np.full(500, 10**10)),
+            pa.ListArray.from_arrays(at, pa.array(flat.astype(np.int32))), pa.ListArray.from_arrays(at, pa.array(np.full(len(flat), 9, dtype=np.int32))),
+        ], names=["key", "only", "q", "items", "counts"])
+found = sum(b.num_rows for b in gram._rows_of(batches(), blocks, items, 210, lambda s, n: s / n, gram.Sizes()))
+assert found == 100 * 210
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss / 1024)
+"""
 
 
-@pytest.mark.parametrize("most", [1, 2, 8])
-def test_similarity_with_heavy_users(log, watched, monkeypatch, most):
-    """Users with more than six items count as heavy; the class path must not change a row."""
-    monkeypatch.setattr(bm25, "MAX_HEAVY", most)
-    same(collected(bm25.item_similarity(log, K, heavy_history=6)), neighbours(watched, K))
+def test_memory_of_a_block_of_sums_is_bounded():
+    """20,000 users with 2,000 items each, all with one item of the block: over 40 million products, 20 million sums."""
+    root = Path(__file__).resolve().parent.parent
+    done = subprocess.run([sys.executable, "-c", SIMILARITY_MEMORY], cwd=root, capture_output=True, text=True, timeout=600)
+    assert done.returncode == 0, done.stderr
+    assert float(done.stdout) < 2048
 
 
 def lists(log, sim, n, **options):
@@ -111,7 +157,7 @@ def expected_lists(seen, sim, n):
 
 
 @pytest.mark.parametrize(
-    "options", [{}, {"log_block": 40, "sim_block": 20}, {"log_block": 10}]
+    "options", [{}, {"products": 40, "held": 20}, {"products": 10}, {"held": 3}]
 )
 def test_neighbour_lists(log, watched, sim, options):
     got, want = lists(log, sim, 5, **options), expected_lists(watched, sim, 5)
@@ -121,6 +167,22 @@ def test_neighbour_lists(log, watched, sim, options):
         assert [s for _, s in got[user]] == pytest.approx([s for _, s in want[user]])
 
 
+def test_grid():
+    """A catalogue of ten million items: fewer copies of the log than products; bytes near the least there is."""
+    rows, users, n, items = 10**12, 10**9, 400, 10**7
+    down, across = bm25.grid(rows, users, n, 210 * items, items, 4000)
+    assert across < bm25.NEIGHBOURS and 210 * items / across <= bm25.HELD
+    assert down * across >= rows * 210 / bm25.TASK_PRODUCTS
+    # Nothing is cut that fits one task, and a small log gets a block for every core.
+    assert bm25.grid(100, 10, 5, 1000, 50, 1) == (1, 1)
+    down, across = bm25.grid(600_000, 15_000, 100, 4_200_000, 20_000, 8)
+
+    def sent(down, across):
+        return across * (600_000 * bm25.ROW_BYTES + 15_000 * 100 * bm25.LIST_BYTES) + down * 4_200_000 * bm25.SIM_BYTES
+
+    assert down * across >= 8 and sent(down, across) == min(sent(-(-8 // a), a) for a in range(1, 9))
+
+
 def test_small_cells(log, watched, sim, monkeypatch):
     history = log.select("user_id", "item_id").toPandas()
     monkeypatch.setattr(bm25, "SCORE_CELLS", 10)
@@ -132,7 +194,7 @@ def test_small_cells(log, watched, sim, monkeypatch):
 MEMORY = """
 import resource, sys
 import numpy as np, pandas as pd
-from reelrank.operators import bm25
+from reelrank.operators import bm25, gram
 rng = np.random.default_rng(1)
 users, items, k = 4000, 1000, 210
 picked = np.argsort(rng.random((users, items)), axis=1)[:, :500]

@@ -2,6 +2,10 @@
 
 import datetime as dt
 
+import subprocess
+import sys
+from pathlib import Path
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -201,8 +205,9 @@ def test_similarity_counts_missing_pairs_as_zero(spark):
     assert tuple(row) == (1, 3, 3.0, 0.0, 6.0, 3.0, 9.0)
 
 
-@pytest.mark.parametrize("limits", [{}, {"CELLS": 8, "PRODUCTS": 12}])
-def test_similarity_statistics(spark, monkeypatch, limits):
+# Blocks of 40 rows hold every history whole; of 4 rows they cut most of them into pieces.
+@pytest.mark.parametrize("limits, rows", [({}, 40), ({"CELLS": 8, "PRODUCTS": 12, "ENTRIES": 5}, 40), ({}, 4), ({}, None)])
+def test_similarity_statistics(spark, monkeypatch, limits, rows):
     for name, value in limits.items():
         monkeypatch.setattr(similarity, name, value)
     rng = np.random.default_rng(2)
@@ -224,12 +229,12 @@ def test_similarity_statistics(spark, monkeypatch, limits):
         return float(x @ y / size) if size else 0.0
 
     for value, got in (
-        (second, similarity.bm25_similarity_stats(lists, log, sim, "", 40)),
-        (cosine, similarity.factor_similarity_stats(lists, log, vectors, "", 40)),
+        (second, similarity.bm25_similarity_stats(lists, log, sim, "", rows)),
+        (cosine, similarity.factor_similarity_stats(lists, log, vectors, "", rows)),
     ):
-        rows = {(r.user_id, r.item_id): tuple(r)[2:] for r in got.collect()}
-        assert rows.keys() == set(wanted)
-        for (u, i), numbers in rows.items():
+        found = {(r.user_id, r.item_id): tuple(r)[2:] for r in got.collect()}
+        assert found.keys() == set(wanted)
+        for (u, i), numbers in found.items():
             x = np.array([value(i, h) for h in seen[u]])
             assert numbers == pytest.approx((x.mean(), x.min(), x.max(), x.std(), x.var()), abs=1e-9)
 
@@ -239,7 +244,55 @@ def test_no_table_of_pairs(spark):
     sim = spark.createDataFrame([(1, 1, 1.0)], "item_i bigint, item_j bigint, similarity double")
     plan = similarity.bm25_similarity_stats(log, log, sim)._jdf.queryExecution().optimizedPlan().toString()
     # The only join brings vectors to blocks.
-    assert plan.count("Join") == 1 and "FlatMapCoGroupsInPandas" in plan
+    assert plan.count("Join") == 1 and "FlatMapCoGroupsInArrow" in plan
+
+
+def test_blocks_follow_the_bytes_of_vectors(spark):
+    short, long = (
+        spark.range(10).select(F.col("id").alias("item_id"), F.sequence(F.lit(1), F.lit(n)).alias("places")) for n in (2, 200)
+    )
+    assert similarity.block_rows(short, 1_000_000) == 31250 and similarity.block_rows(long, 10_000_000) == 3125
+    assert similarity.block_rows(short.limit(0)) == similarity.MOST_ROWS and similarity.block_rows(long, 10) == similarity.LEAST_ROWS
+
+
+LONG_HISTORY = """
+import resource
+import numpy as np, pyarrow as pa
+from reelrank.operators import similarity
+rng = np.random.default_rng(1)
+items, k, wanted = 1_000_000, 210, 400
+rows = int(similarity.HELD_BYTES / (k * similarity.ENTRY_BYTES))
+pieces = 0
+for low in range(0, items, rows):
+    past = np.arange(low, min(low + rows, items))
+    named = np.concatenate([past, np.arange(items, items + wanted)])
+    places = rng.integers(0, items, len(named) * k).reshape(-1, k)
+    places.sort(axis=1)
+    at = pa.array(np.arange(len(named) + 1, dtype=np.int32) * k)
+    vectors = pa.table({
+        "named": named,
+        "places": pa.ListArray.from_arrays(at, pa.array(places.ravel())),
+        "values": pa.ListArray.from_arrays(at, pa.array(rng.random(places.size))),
+    })
+    del places
+    block = pa.table({
+        "user_id": np.zeros(len(named), dtype=np.int64), "item_id": named, "past": np.arange(len(named)) < len(past),
+        "piece": np.full(len(named), pieces, dtype=np.int32),
+    })
+    found = similarity._block_moments(block, vectors)
+    assert found.num_rows == wanted and found.column("n")[0].as_py() == len(past)
+    pieces += 1
+assert pieces > 20
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss / 1024)
+"""
+
+
+def test_memory_of_a_long_history_is_bounded():
+    """One user with a million items, K = 210: piece by piece under a gigabyte."""
+    root = Path(__file__).resolve().parent.parent
+    done = subprocess.run([sys.executable, "-c", LONG_HISTORY], cwd=root, capture_output=True, text=True, timeout=600)
+    assert done.returncode == 0, done.stderr
+    assert float(done.stdout) < 1024
 
 
 def cold_fixture(spark):

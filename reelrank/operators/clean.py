@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelrank.functions.calendar import calendar_columns, read_datetime
+from reelrank.functions.calendar import calendar_columns, date_layout, read_datetime
 from reelrank.functions.text import ids_text, int_list, raw_list, without
 from reelrank.operators.skew import HotKeys, hot_keys, number_all, skew_join
 
@@ -45,6 +45,20 @@ def typed_log(log: DataFrame) -> DataFrame:
     )
 
 
+def date_layouts(rows: DataFrame, column: str) -> DataFrame:
+    """(layout, n): how the dates of a text column are written; nulls and blanks are left out.
+
+    Rows under ``either`` are read month first but could be meant the other way round; where ``day first`` is
+    frequent beside them, the column is written day first and such rows need another look.
+    """
+    return (
+        rows.select(date_layout(F.col(column)).alias("layout"))
+        .where(F.col("layout").isNotNull())
+        .groupBy("layout")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
 def with_calendar(log: DataFrame) -> DataFrame:
     return log.withColumns(calendar_columns(F.col("ts")))
 

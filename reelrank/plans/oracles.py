@@ -13,6 +13,8 @@ import re
 COLUMNS = {
     "scan_interactions": "user_id i, item_id i, ts t, duration d",
     "parse_mixed_datetime": "item_id i, published_ts t",
+    "mixed_layout_datetime": "order_id i, line i, ts t",
+    "date_layouts": "layout s, n i",
     "datetime_features": "user_id i, item_id i, ts t, day i, day_of_week i, day_of_year i, hour i, day_part s, is_weekend i, week_number i",
     "item_release_year": "item_id i, release_year i",
     "item_age_days": "item_id i, age_days i",
@@ -77,6 +79,8 @@ COLUMNS = {
     "cold_start_local": "user_id i, item_id i, rank i",
     "cold_start_global": "user_id i, item_id i, rank i",
     "recommendations_bm25": "user_id i, rank i, item_id i, source s",
+    "processed_round_trip": "user_id i, item_id i, ts t, duration d, name s, description s, genres s, n_staff i",
+    "predictions_round_trip": "users i, movies s",
     "average_precision_at_k": "user_id i, ap d",
     "map_at_k": "map d, n_users i",
     "candidate_recall_by_history": "budget s, history_len i, hits i, targets i, recall d",
@@ -120,6 +124,8 @@ CTES: dict[str, str] = {
     "people": """SELECT s_suppkey AS id, CASE r_name WHEN 'AMERICA' THEN 'actor' WHEN 'EUROPE' THEN 'director'
             WHEN 'ASIA' THEN 'producer' WHEN 'AFRICA' THEN 'writer' WHEN 'MIDDLE EAST' THEN 'composer' END AS role
         FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
+    "ship_dates": """SELECT l_orderkey AS order_id, l_linenumber AS line, CAST(l_shipdate AS TIMESTAMP) AS d,
+        (l_orderkey + l_linenumber) % 7 AS k FROM lineitem""",
     # log
     "e": """SELECT user_id, item_id, min(ts) AS ts, coalesce(round(sum(duration), 6), 0) AS duration FROM e_raw GROUP BY 1, 2""",
     "p": """SELECT user_id, item_id, min(ts) AS ts, coalesce(round(sum(duration), 6), 0) AS duration FROM p_raw GROUP BY 1, 2""",
@@ -310,6 +316,11 @@ CTES: dict[str, str] = {
 ORACLES: dict[str, str] = {
     "scan_interactions": "SELECT * FROM e_raw",
     "parse_mixed_datetime": "SELECT item_id, try_cast(date_publication AS TIMESTAMP) AS published_ts FROM i",
+    "mixed_layout_datetime": """SELECT order_id, line,
+        CASE WHEN k IN (1, 3, 6) AND day(d) <= 12 THEN make_timestamp(year(d), day(d), month(d), 0, 0, 0) ELSE d END AS ts FROM ship_dates""",
+    "date_layouts": """SELECT CASE WHEN k IN (0, 4) THEN 'year first' WHEN k = 5 THEN 'other'
+            WHEN k <> 2 AND day(d) > 12 THEN 'day first' WHEN k = 2 AND day(d) > 12 THEN 'month first'
+            WHEN day(d) = month(d) THEN 'month first' ELSE 'either' END AS layout, count(*) AS n FROM ship_dates GROUP BY 1""",
     "datetime_features": f"SELECT user_id, item_id, ts, {CALENDAR} FROM e_raw",
     "item_release_year": "SELECT item_id, year(try_cast(year AS TIMESTAMP)) AS release_year FROM i",
     "item_age_days": """SELECT item_id, trunc((epoch_us(TIMESTAMP '2023-08-22') - epoch_us(try_cast(date_publication AS TIMESTAMP)))
@@ -397,6 +408,10 @@ ORACLES: dict[str, str] = {
         FROM p_open) WHERE rank <= 20""",
     "recommendations_bm25": """SELECT * EXCLUDE (rank, place), place AS rank FROM (
         SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY turn, rank, item_id) AS place FROM filled) WHERE place <= 20""",
+    "processed_round_trip": """SELECT user_id, item_id, ts, duration, name, description,
+        array_to_string(CAST(genres AS BIGINT[]), ' ') AS genres, len(CAST(staff AS BIGINT[])) AS n_staff FROM e_raw JOIN i USING (item_id)""",
+    "predictions_round_trip": """SELECT user_id AS users, string_agg(item_id, ' ' ORDER BY place) AS movies FROM (
+        SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY turn, rank, item_id) AS place FROM filled) WHERE place <= 20 GROUP BY 1""",
     "average_precision_at_k": "SELECT * FROM ap",
     "map_at_k": "SELECT avg(ap) AS map, count(*) AS n_users FROM ap",
     "candidate_recall_by_history": """SELECT budget, n AS history_len, sum(hit) AS hits, count(*) AS targets, sum(hit) / count(*) AS recall

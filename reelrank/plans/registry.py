@@ -16,8 +16,9 @@ from reelrank.operators.candidates import Budget
 from reelrank.operators.skew import hot_keys
 from reelrank.plans import pipeline
 from reelrank.plans.oracles import columns
-from reelrank.session import materialize
+from reelrank.session import materialize, stored_path
 from reelrank.sources import testdata
+from reelrank.sources import dataset as files
 from reelrank.sources.dataset import Dataset, predictions_wide
 
 # Parameters on the small event log, and on the purchases.
@@ -134,6 +135,17 @@ def parse_mixed_datetime(spark, d):
     return items.select("item_id", parse_datetime(F.col("date_publication")).alias("published_ts"))
 
 
+@query
+def mixed_layout_datetime(spark, d):
+    """Ship dates written in seven layouts, read back: month first wherever a month can stand first."""
+    return testdata.dates_as_text(spark, d).withColumn("ts", parse_datetime(F.col("text")))
+
+
+@query
+def date_layouts(spark, d):
+    return clean.date_layouts(testdata.dates_as_text(spark, d), "text")
+
+
 @query
 def datetime_features(spark, d):
     return clean.with_calendar(testdata.events_log(spark, d))
@@ -484,6 +496,30 @@ def recommendations_bm25(spark, d):
     return pipeline.recommend_neighbours(_stored_e(spark, d), testdata.items(spark, d), E_NEIGHBOURS)
 
 
+@query
+def processed_round_trip(spark, d):
+    """Log and catalogue with its lists written as the processed CSV tables, and read back."""
+    items, path = _e_catalogue(spark, d), stored_path(spark)
+    log = testdata.events_log(spark, d)
+    files.write_processed(Dataset(log, items, testdata.staff(spark, d)), path)
+    read = files.read_processed(spark, path, "logs", log).join(files.read_processed(spark, path, "movies", items), "item_id")
+    return read.withColumns({"genres": F.array_join("genres", " "), "n_staff": F.size("staff_ids")})
+
+
+def _e_catalogue(spark: SparkSession, d: str) -> DataFrame:
+    """Catalogue with lists as arrays and descriptions of several lines."""
+    items = testdata.items(spark, d, people=True, texts=True)
+    return items.select("item_id", "name", "description", int_list(F.col("genres")).alias("genres"), int_list(F.col("staff")).alias("staff_ids"))
+
+
+@query
+def predictions_round_trip(spark, d):
+    """The lists written as the headerless predictions file, and read back."""
+    path = f"{stored_path(spark)}/result"
+    files.write_predictions(QUERIES["recommendations_bm25"](spark, d), path)
+    return files.read_predictions(spark, path).withColumn("movies", F.array_join("movies", " "))
+
+
 def _ap(spark: SparkSession, d: str) -> DataFrame:
     d1, d2 = _split(_stored_e(spark, d))
     near = candidates.bm25_candidates(d1, materialize(bm25.item_similarity(d1, E_NEIGHBOURS)), E_BUDGET)

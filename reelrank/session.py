@@ -64,6 +64,11 @@ def shared_folder(spark: SparkSession) -> str:
 _PREFIX = "reelrank-"
 
 
+def stored_path(spark: SparkSession) -> str:
+    """A new path in the shared folder, removed with the application's stored tables."""
+    return f"{shared_folder(spark)}/{_PREFIX}{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage at a table several later steps read: write it to the shared folder and scan it.
 
@@ -72,10 +77,9 @@ def materialize(df: DataFrame) -> DataFrame:
     rows are kept by the executors, with their lineage.
     """
     spark = df.sparkSession
-    folder = _folder(spark)
-    if folder is None:
+    if _folder(spark) is None:
         return df.persist(StorageLevel.MEMORY_AND_DISK)
-    path = f"{folder}/{_PREFIX}{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    path = stored_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

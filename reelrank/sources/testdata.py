@@ -117,3 +117,17 @@ def factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("item_id"), F.col("embedding").cast("array<double>").alias("factor")
     )
+
+
+# Layouts of ``dates_as_text``, by (order + line) modulo their number.
+SHIP_LAYOUTS = ["yyyy-MM-dd HH:mm:ss", "dd.MM.yyyy", "MM/dd/yyyy", "dd-MM-yyyy HH:mm", "yyyy/M/d", "MMM d, yyyy", "d/M/yyyy"]
+
+
+def dates_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(order_id, line, text): the ship dates, written in several layouts as an export of many sources has them."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    written = F.lit(None).cast("string")
+    for k, layout in enumerate(SHIP_LAYOUTS):
+        chosen = F.pmod(F.col("l_orderkey") + F.col("l_linenumber"), F.lit(len(SHIP_LAYOUTS))) == k
+        written = F.when(chosen, F.date_format("l_shipdate", layout)).otherwise(written)
+    return lines.select(F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line"), written.alias("text"))

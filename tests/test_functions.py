@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -43,12 +44,12 @@ def test_trend_weights():
         ("2023-04-05T06:07:08Z", dt.datetime(2023, 4, 5, 6, 7, 8)),
         ("2023/04/05", dt.datetime(2023, 4, 5)),
         ("2023/04/05 06:07:08", dt.datetime(2023, 4, 5, 6, 7, 8)),
-        ("05-04-2023 06:07:08", dt.datetime(2023, 4, 5, 6, 7, 8)),
-        ("05-04-2023", dt.datetime(2023, 4, 5)),
+        ("05-04-2023 06:07:08", dt.datetime(2023, 5, 4, 6, 7, 8)),
+        ("05-04-2023", dt.datetime(2023, 5, 4)),
         ("Apr 5, 2023 06:07", dt.datetime(2023, 4, 5, 6, 7)),
         ("Apr 5, 2023", dt.datetime(2023, 4, 5)),
         ("2023-04-05", dt.datetime(2023, 4, 5)),
-        ("05.04.2023 06:07:08", dt.datetime(2023, 4, 5, 6, 7, 8)),
+        ("05.04.2023 06:07:08", dt.datetime(2023, 5, 4, 6, 7, 8)),
         ("04/05/2023", dt.datetime(2023, 4, 5)),
         ("unknown", None),
         (None, None),
@@ -58,6 +59,44 @@ def test_mixed_datetimes(spark, value, expected):
     assert column(spark, value, calendar.parse_datetime) == expected
 
 
+def mixed_texts():
+    """Dates in every layout, with and without a time."""
+    dates = [dt.date(2024, 5, 1), dt.date(2024, 1, 13), dt.date(2023, 12, 25), dt.date(1999, 12, 12), dt.date(2024, 2, 29)]
+    layouts = ["{m:02}-{d:02}-{y}", "{d:02}-{m:02}-{y}", "{m}.{d}.{y}", "{d:02}.{m:02}.{y}", "{m:02}/{d:02}/{y}", "{d}/{m}/{y}"]
+    layouts += ["{y}-{m:02}-{d:02}", "{y}/{m}/{d}", "{y}.{m:02}.{d:02}", "{b} {d}, {y}", "{d} {b} {y}", "{B} {d} {y}"]
+    times = ["", " 06:07:08", " 6:07", " 23:59:59.25", " 3:04:05 PM", " 11:30 am", " 06:07:08Z", " 06:07:08+03:00", " 06:07:08 -0130"]
+    for day in dates:
+        for layout in layouts:
+            text = layout.format(y=day.year, m=day.month, d=day.day, b=day.strftime("%b"), B=day.strftime("%B"))
+            yield from (text + t for t in times if not ("b" in layout.lower() and (":08" in t and t[-1:] != "8" or "." in t)))
+    yield from ["20240113", " 2024-01-13 ", "05-01-2024 10:00:00", "05.01.2024", "13/01/2024"]
+    yield from ["2023-13-04", "2023/13/04", "00/01/2023", "2023-04-31", "13/13/2023", "unknown", "no date 1"]
+
+
+def test_mixed_datetimes_as_pandas_reads_them(spark):
+    """Month first, day first only where a month cannot stand there; what one reader refuses the other refuses."""
+    texts = list(mixed_texts())
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", calendar.parse_datetime(F.col("t")).alias("ts")).collect()
+    for r in got:
+        try:
+            want = pd.to_datetime(pd.Series([r.t]), format="mixed", utc=True)[0].to_pydatetime().replace(tzinfo=None)
+        except ValueError:
+            want = None
+        assert r.ts == want, r.t
+
+
+@pytest.mark.parametrize(
+    "value, layout",
+    [
+        ("05-01-2024", "either"), ("13/01/2024 10:00", "day first"), ("01/13/2024", "month first"), ("05.05.2024", "month first"),
+        ("2024-05-01", "year first"), ("May 1, 2024", "other"), ("20240501", "other"), ("soon", "unread"), ("13/13/2024", "unread"),
+        (" ", None), (None, None),
+    ],
+)
+def test_date_layout(spark, value, layout):
+    assert column(spark, value, calendar.date_layout) == layout
+
+
 @pytest.mark.parametrize(
     "day, weekday, week", [(dt.datetime(2024, 1, 1), 0, 1), (dt.datetime(2021, 1, 1), 4, 53), (dt.datetime(2024, 1, 6), 5, 1)]
 )

@@ -17,7 +17,6 @@ from pyspark.sql.window import Window
 from reelrank.session import materialize
 
 HOT_ROWS = 1_000_000
-QUANTILE_ACCURACY = 10_000
 
 
 @dataclass(frozen=True)
@@ -73,37 +72,28 @@ def skew_join(big: DataFrame, small: DataFrame, keys: list[str], how: str, hot:
     return left.drop("_pieces").join(right.drop("_pieces"), keys + ["_piece"], how).drop("_piece")
 
 
-def range_pieces(df: DataFrame, keys: list[str], order: str, hot: HotKeys) -> DataFrame:
-    """Add ``_piece``: rows of a hot key are cut into ranges of ``order``, as many as its rows ask for.
+def range_pieces(df: DataFrame, keys: list[str], order: list[str], hot: HotKeys) -> DataFrame:
+    """Add ``_piece``: rows of the hot keys are dealt out in ranges of (keys, order), about ``hot_rows`` to a range.
 
-    The cut points are approximate quantiles. Where the cuts fall decides only the size of the pieces, never
-    a result. The keys of ``hot`` may be some of ``keys``.
+    The shuffle looks the range of a row up by binary search; pieces ascend with ``order`` within a key, and rows equal in
+    keys and order share one. Stored, since the pieces must stand. Where the ranges end decides only the size of the pieces,
+    never a result. All other rows are piece 0. The keys of ``hot`` may be some of ``keys``.
     """
     if not hot:
         return df.withColumn("_piece", F.lit(0))
-    most = min(math.ceil(hot.largest / hot.hot_rows) + 1, QUANTILE_ACCURACY)
-    grid = [i / most for i in range(1, most)]
-    cuts = (
-        df.join(hot.frame(), list(hot.keys), "inner")
-        .groupBy(*keys, "_pieces")
-        .agg(F.percentile_approx(order, grid, F.lit(QUANTILE_ACCURACY)).alias("_grid"))
-        .select(
-            *keys,
-            F.expr(f"transform(sequence(1, _pieces - 1), i -> _grid[greatest(0, least({most} - 2, cast(i * {most} / _pieces as int) - 1))])").alias("_cuts"),
-        )
-    )
-    piece = F.size(F.filter("_cuts", lambda c: c < F.col(order)))
-    return (
-        df.join(cuts, keys, "left")
-        .withColumn("_piece", F.when(F.col("_cuts").isNull(), 0).otherwise(piece))
-        .drop("_cuts")
-    )
+    on = list(hot.keys)
+    rows = hot.table.agg(F.sum("_n")).first()[0]
+    parts = math.ceil(rows / hot.hot_rows) + 1
+    dealt = df.join(hot.table.select(*on), on, "left_semi").repartitionByRange(parts, *keys, *order)
+    dealt = materialize(dealt.withColumn("_piece", F.spark_partition_id()))
+    ordinary = df.join(hot.table.select(*on), on, "left_anti").withColumn("_piece", F.lit(0))
+    return ordinary.unionByName(dealt.select(*df.columns, "_piece"))
 
 
 def piece_offsets(pieces: DataFrame, keys: list[str], hot: HotKeys, weight: Column) -> DataFrame:
     """Total ``weight`` in the earlier pieces of the same hot key: a row per piece of a hot key."""
     sizes = (
-        pieces.join(hot.frame(), list(hot.keys), "left_semi")
+        pieces.join(hot.table.select(*hot.keys), list(hot.keys), "left_semi")
         .groupBy(*keys, "_piece")
         .agg(F.sum(weight).alias("_size"))
     )
@@ -114,13 +104,13 @@ def piece_offsets(pieces: DataFrame, keys: list[str], hot: HotKeys, weight: Colu
 def number_rows(
     df: DataFrame, keys: list[str], order: str, ties: list[str], out: str, hot: HotKeys | None = None
 ) -> DataFrame:
-    """Number the rows of each key from 1 by (order, ties), ascending; ``order`` is numeric.
+    """Number the rows of each key from 1 by (order, ties), ascending.
 
     The same numbers as ``row_number`` over the key, without a task that holds a whole hot key.
     """
     if hot is None:
         hot = hot_keys(df, keys)
-    cut = range_pieces(df, keys, order, hot)
+    cut = range_pieces(df, keys, [order, *ties], hot)
     within = Window.partitionBy(*keys, "_piece").orderBy(order, *ties)
     numbered = cut.withColumn(out, F.row_number().over(within).cast("bigint"))
     if hot:
@@ -132,7 +122,7 @@ def number_rows(
 
 
 def number_all(df: DataFrame, order: str, out: str) -> DataFrame:
-    """Number all rows from 1 by the unique numeric column ``order``, in ranges."""
+    """Number all rows from 1 by the unique column ``order``, in ranges."""
     return number_rows(df.withColumn("_all", F.lit(0)), ["_all"], order, [], out).drop("_all")
 
 
@@ -142,13 +132,13 @@ def next_in_order(
     """The ``value`` of the following row of the same key by (order, ties); null on the last row."""
     if hot is None:
         hot = hot_keys(df, [key])
-    cut = range_pieces(df, [key], order, hot)
+    cut = range_pieces(df, [key], [order, *ties], hot)
     within = Window.partitionBy(key, "_piece").orderBy(order, *ties)
     stepped = cut.withColumn(out, F.lead(value).over(within))
     if hot:
         # The last row of a piece continues with the first row of the next piece of its key.
         firsts = (
-            cut.join(hot.frame(), key, "left_semi")
+            cut.join(hot.table.select(key), key, "left_semi")
             .groupBy(key, "_piece")
             .agg(F.min(F.struct(order, *ties, value)).alias("_first"))
         )
@@ -170,7 +160,7 @@ def exact_quantiles(
     present = df.where(F.col(value).isNotNull()).select(key, value)
     if hot is None:
         hot = hot_keys(present, [key])
-    counted = range_pieces(present, [key], value, hot).groupBy(key, "_piece", value).agg(F.count(F.lit(1)).alias("_c"))
+    counted = range_pieces(present, [key], [value], hot).groupBy(key, "_piece", value).agg(F.count(F.lit(1)).alias("_c"))
     running = Window.partitionBy(key, "_piece").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     ranked = counted.withColumn("_upto", F.sum("_c").over(running))
     if hot:

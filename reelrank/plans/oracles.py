@@ -48,6 +48,8 @@ COLUMNS = {
     "item_feature_table": "item_id i, approx_duration d, mean_duration d, mean_percentage d, rating_1 d, rating_2 d, rating_3 d, rating_4 d, rating_5 d, mean_score d, median_score d, std_score d, q25_score d, q75_score d, trend_slope d, watched_in_window i",
     "user_target_items": "user_id i, item_id i",
     "user_history": "user_id i, position i, item_id i",
+    "yearly_sequence_in_ranges": "year i, position i, user_id i, item_id i, next_item i",
+    "yearly_quantiles_in_ranges": "year i, q10 d, median d, q90 d",
     "local_top_items": "item_id i, n i, rank i",
     "user_favourite_genres": "user_id i, genre i, n i, rank i",
     "bm25_item_weights": "user_id i, item_id i, weight d",
@@ -367,6 +369,10 @@ ORACLES: dict[str, str] = {
     "item_popularity": "SELECT * FROM popularity",
     "item_feature_table": "SELECT * FROM item_features",
     "user_target_items": "SELECT DISTINCT user_id, item_id FROM e_d2",
+    "yearly_sequence_in_ranges": """SELECT year(ts) AS year, row_number() OVER w AS position, user_id, item_id, lead(item_id) OVER w AS next_item
+        FROM p WINDOW w AS (PARTITION BY year(ts) ORDER BY ts, user_id, item_id)""",
+    "yearly_quantiles_in_ranges": """SELECT year(ts) AS year, quantile_cont(duration, 0.1) AS q10, quantile_cont(duration, 0.5) AS median,
+        quantile_cont(duration, 0.9) AS q90 FROM p GROUP BY 1""",
     "user_history": "SELECT user_id, item_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, item_id) AS position FROM e_d1",
     "local_top_items": "SELECT * FROM e_local",
     "user_favourite_genres": "SELECT * FROM p_favourites",

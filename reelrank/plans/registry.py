@@ -8,12 +8,12 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelrank.functions.calendar import age_in_days, parse_datetime
+from reelrank.functions.calendar import age_in_days, parse_datetime, seconds_of
 from reelrank.functions.text import LATIN, clean_text, int_list
 from reelrank.operators import analysis, bm25, candidates, clean, coldstart, evaluate, features, similarity, splits, training
 from reelrank.operators import ranker as rank
 from reelrank.operators.candidates import Budget
-from reelrank.operators.skew import hot_keys
+from reelrank.operators.skew import HotKeys, exact_quantiles, hot_keys, next_in_order, number_rows
 from reelrank.plans import pipeline
 from reelrank.plans.oracles import columns
 from reelrank.session import materialize, stored_path
@@ -335,6 +335,28 @@ def user_history(spark, d):
     return candidates.user_history(_split(_e(spark, d))[0])
 
 
+def _by_year(spark: SparkSession, d: str) -> tuple[DataFrame, HotKeys]:
+    """Purchases by year, every year hot: cut into ranges of about a fortieth of the log."""
+    log = _p(spark, d)
+    log = log.select(F.year("ts").alias("year"), seconds_of(F.col("ts")).alias("second"), "user_id", "item_id", "duration")
+    return log, hot_keys(log, ["year"], max(1, log.count() // 40))
+
+
+@query
+def yearly_sequence_in_ranges(spark, d):
+    """Position and next item of every purchase in its year: the numbering and the successors of long histories."""
+    log, hot = _by_year(spark, d)
+    numbered = materialize(number_rows(log, ["year"], "second", ["user_id", "item_id"], "position", hot))
+    return next_in_order(numbered, "year", "position", [], "item_id", "next_item", hot)
+
+
+@query
+def yearly_quantiles_in_ranges(spark, d):
+    """Exact quantiles of the quantity by year, ranked in ranges."""
+    log, hot = _by_year(spark, d)
+    return exact_quantiles(log, "year", "duration", {"q10": 0.1, "median": 0.5, "q90": 0.9}, hot)
+
+
 @query
 def local_top_items(spark, d):
     return coldstart.local_top_items(_e(spark, d))

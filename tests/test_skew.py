@@ -101,3 +101,22 @@ def test_quantile_fixture(spark):
     assert (row.a, row.m) == (pytest.approx(8.2), 3.0)
     spread = df.agg(F.stddev_samp("v").alias("s"), F.stddev_pop("v").alias("p")).first()
     assert (spread.s, spread.p) == (pytest.approx(4.031129, abs=1e-6), pytest.approx(3.491060, abs=1e-6))
+
+
+def test_ranges_are_looked_up_in_the_shuffle(spark, table):
+    """No list of cuts on the rows; a key of equal order values is cut by the ties."""
+    numbered = skew.number_rows(table, ["k"], "o", ["id"], "n", hot(table, ["k"]))
+    plan = numbered._jdf.queryExecution().optimizedPlan().toString()
+    assert "percentile" not in plan and "cuts" not in plan
+    flat = spark.range(900).select(F.lit(1).alias("k"), F.lit(5).alias("o"), "id")
+    found = skew.hot_keys(flat, ["k"], 100)
+    pieces = skew.range_pieces(flat, ["k"], ["o", "id"], found).groupBy("_piece").count().collect()
+    assert len(pieces) >= 9 and max(r["count"] for r in pieces) <= 300
+    numbered = skew.number_rows(flat, ["k"], "o", ["id"], "n", found)
+    assert all(r.n == r.id + 1 for r in numbered.collect())
+
+
+def test_text_orders(spark):
+    words = spark.createDataFrame([(1, f"w{i:03}") for i in range(300)], "k long, o string")
+    got = skew.number_rows(words, ["k"], "o", [], "n", skew.hot_keys(words, ["k"], 50))
+    assert all(r.o == f"w{r.n - 1:03}" for r in got.collect())

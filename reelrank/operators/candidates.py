@@ -221,7 +221,8 @@ def _best_unseen(n: int) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]
         right = right.sort_values("item_idx", ignore_index=True)
         items = right["item_idx"].to_numpy()
         users = left[left["item_idx"].isna()].sort_values("user_idx", ignore_index=True)
-        seen = left[left["item_idx"].notna()].sort_values("user_idx")
+        # What users have seen who have no place for an item of this block does not matter.
+        seen = left[left["item_idx"].notna() & left["user_idx"].isin(users["user_idx"])].sort_values("user_idx")
         ids, seen_by = users["user_idx"].to_numpy(), seen["user_idx"].to_numpy()
         width, found = len(items), []
         empty = pd.DataFrame({"user_idx": np.zeros(0, "int32"), "item_idx": np.zeros(0, "int32"), "score": np.zeros(0)})
@@ -249,6 +250,81 @@ def _best_unseen(n: int) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]
     return block
 
 
+# A bound on a product of factors is taken a little larger, for the digits that rounding may add.
+BOUND_SLACK = 1e-6
+
+
+@dataclass(frozen=True)
+class BestUnseen:
+    """``lists`` (user_idx, item_idx, score): the n best unseen items of every user are among the rows; and the number of
+    (user, item block) pairs that were scored, of all there are."""
+
+    lists: DataFrame
+    scored: int
+    pairs: int
+
+
+def best_unseen(
+    users: DataFrame, items: DataFrame, seen: DataFrame, n: int, user_block_rows: int = USER_BLOCK_ROWS, item_block: int = ITEM_BLOCK
+) -> BestUnseen:
+    """The unseen items with the greatest inner product, exactly, without scoring what cannot be among them.
+
+    ``users`` (user_idx, f), ``items`` (item_idx, f), ``seen`` (user_idx, item_idx), all stored tables. A blocked matrix product:
+    users in blocks of about ``user_block_rows`` seen rows, items in blocks of about ``item_block`` by falling length of their
+    factors. The first block gives every user an n-th best score. A product is at most the product of the lengths, so
+    of the other blocks a user is sent only to those whose longest item could still reach that score; they come first, since
+    lengths fall. What a user has seen goes to the block of the item and is struck out there, so only the best N per user and
+    block leave a task, for any length of history.
+    """
+
+    def size(f: str) -> Column:
+        return F.sqrt(F.aggregate(f, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
+
+    n_users, n_items = users.count(), items.count()
+    across = max(1, math.ceil(seen.count() / user_block_rows))
+    down = max(1, math.ceil(n_items / item_block))
+    # A small job cuts the items further, until every core has a block to work on.
+    down = max(down, min(math.ceil(seen.sparkSession.sparkContext.defaultParallelism / across), max(1, n_items)))
+    ordered = number_rows(items.withColumns({"_all": F.lit(0), "_size": -size("f")}), ["_all"], "_size", ["item_idx"], "_nth")
+    per_block = max(1, math.ceil(n_items / down))
+    placed = materialize(ordered.withColumn("ib", F.floor((F.col("_nth") - 1) / per_block).cast("int")).select("item_idx", "f", "ib", "_size"))
+    # One number per block, longest first.
+    tops = placed.groupBy("ib").agg(F.max(-F.col("_size")).alias("top"))
+    tops = tops.agg(F.transform(F.array_sort(F.collect_list(F.struct("ib", "top"))), lambda b: b["top"])).scalar()
+
+    def user_block(column: str = "user_idx") -> Column:
+        return F.pmod(F.xxhash64(F.col(column).cast("int")), F.lit(across)).cast("int").alias("ub")
+
+    struck = seen.join(placed.select("item_idx", "ib"), "item_idx").select(
+        user_block(), "ib", "user_idx", "item_idx", F.lit(None).cast("array<float>").alias("f")
+    )
+    struck = materialize(struck)
+    each = F.explode(F.sequence(F.lit(0), F.lit(across - 1))).alias("ub")
+    offered = placed.select(each, "ib", "item_idx", "f")
+    none = F.lit(None).cast("int").alias("item_idx")
+
+    def scored(asked: DataFrame, first: bool) -> DataFrame:
+        some = (F.col("ib") == 0) if first else (F.col("ib") > 0)
+        rows = asked.select(user_block(), "ib", "user_idx", none, "f").unionByName(struck.where(some))
+        pairs = rows.groupBy("ub", "ib").cogroup(offered.where(some).groupBy("ub", "ib"))
+        return materialize(pairs.applyInPandas(_best_unseen(n), "user_idx int, item_idx int, score double"))
+
+    near = scored(users.withColumn("ib", F.lit(0)), True)
+    nth = near.groupBy("user_idx").agg(F.count(F.lit(1)).alias("held"), F.min("score").alias("least"))
+    reach = size("f") * (1 + BOUND_SLACK)
+    bar = F.when(F.col("held") >= n, F.col("least") - BOUND_SLACK).otherwise(float("-inf"))
+    # Lengths fall, so the blocks that may matter are the first ones.
+    upto = F.size(F.filter("_tops", lambda top: top * F.col("_reach") >= F.col("_bar"))) - 1
+    asked = users.join(nth, "user_idx", "left").withColumns(
+        {"_reach": reach, "_bar": F.coalesce(bar, F.lit(float("-inf"))), "_tops": tops}
+    )
+    asked = materialize(asked.withColumn("_upto", upto).where(F.col("_upto") > 0).select("user_idx", "f", "_upto"))
+    more = asked.select("user_idx", "f", F.explode(F.sequence(F.lit(1), "_upto")).alias("ib"))
+    far = scored(more, False)
+    done = asked.agg(F.coalesce(F.sum("_upto"), F.lit(0))).first()[0] + n_users
+    return BestUnseen(near.unionByName(far), done, n_users * math.ceil(n_items / per_block))
+
+
 def als_candidates(
     log: DataFrame,
     fitted: tuple[ALSModel, DataFrame, DataFrame],
@@ -258,42 +334,14 @@ def als_candidates(
 ) -> DataFrame:
     """(user_id, item_id, score, rank) from the factor model, unseen items only.
 
-    A blocked matrix product: users in blocks of about ``user_block_rows`` log rows, items in blocks of
-    about ``item_block``. What a user has seen goes to the block of the item and is struck out there, so only
-    the best N per user and block leave a task, for any length of history. Numbers stand in for the ids
-    until the lists are cut; they are in the order of the ids, so ties fall the same way.
+    Numbers stand in for the ids until the lists are cut; they are in the order of the ids, so ties fall the same way.
     """
     model, users, items = fitted
-    seen = materialize(indexed_log(log, users, items))
-    across = max(1, math.ceil(seen.count() / user_block_rows))
-    down = max(1, math.ceil(items.count() / item_block))
-    # A small job cuts the items further, until every core has a block to work on.
-    down = max(down, math.ceil(log.sparkSession.sparkContext.defaultParallelism / across))
-
-    def block(column: str, n: int) -> Column:
-        return F.pmod(F.xxhash64(F.col(column).cast("int")), F.lit(n)).cast("int")
-
-    known = model.userFactors.select(F.col("id").alias("user_idx"), F.col("features").alias("f"))
-    asked = known.select(
-        block("user_idx", across).alias("ub"),
-        F.explode(F.sequence(F.lit(0), F.lit(down - 1))).alias("ib"),
-        "user_idx",
-        F.lit(None).cast("int").alias("item_idx"),
-        "f",
-    )
-    struck = seen.select(
-        block("user_idx", across).alias("ub"), block("item_idx", down).alias("ib"), "user_idx", "item_idx",
-        F.lit(None).cast("array<float>").alias("f"),
-    )
-    offered = model.itemFactors.select(
-        F.explode(F.sequence(F.lit(0), F.lit(across - 1))).alias("ub"),
-        block("id", down).alias("ib"),
-        F.col("id").alias("item_idx"),
-        F.col("features").alias("f"),
-    )
-    found = asked.unionByName(struck).groupBy("ub", "ib").cogroup(offered.groupBy("ub", "ib"))
-    unseen = found.applyInPandas(_best_unseen(budget.longest), "user_idx int, item_idx int, score double")
-    unseen = unseen.withColumnsRenamed({"user_idx": "user_id", "item_idx": "item_id"})
+    seen = materialize(indexed_log(log, users, items)).select("user_idx", "item_idx")
+    known = materialize(model.userFactors.select(F.col("id").alias("user_idx"), F.col("features").alias("f")))
+    offered = materialize(model.itemFactors.select(F.col("id").alias("item_idx"), F.col("features").alias("f")))
+    found = best_unseen(known, offered, seen, budget.longest, user_block_rows, item_block)
+    unseen = found.lists.withColumnsRenamed({"user_idx": "user_id", "item_idx": "item_id"})
     numbers = seen.select(F.col("user_idx").alias("user_id"))
     lists = materialize(within_budget(unseen, numbers, budget)).withColumnsRenamed(
         {"user_id": "user_idx", "item_id": "item_idx"}

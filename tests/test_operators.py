@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from reelrank.session import materialize
 from reelrank.operators import analysis, candidates, clean, coldstart, evaluate, features, similarity, splits, training
 from reelrank.operators.candidates import Budget
 from reelrank.operators.skew import hot_keys
@@ -150,6 +151,34 @@ def test_als_lists_are_the_best_unseen(spark, monkeypatch, blocks):
         assert r.score == pytest.approx(float(u[r.user_id] @ i[r.item_id]), abs=1e-8)
 
 
+@pytest.mark.parametrize("skewed", [True, False])
+def test_blocks_that_cannot_reach_a_list_are_not_scored(spark, skewed):
+    rng = np.random.default_rng(4)
+    length = 20.0 / (1 + np.arange(300)) ** 2 if skewed else np.ones(300)
+    vectors = (rng.normal(size=(300, 5)) * length[rng.permutation(300)][:, None]).astype("float32")
+    own = rng.normal(size=(40, 5)).astype("float32")
+    own[0] = 0
+    seen = {(u, int(i)) for u in range(40) for i in rng.choice(300, 290 if u == 1 else 6, replace=False)}
+    table = lambda rows, schema: materialize(spark.createDataFrame(rows, schema))
+    found = candidates.best_unseen(
+        table([(u, f.tolist()) for u, f in enumerate(own)], "user_idx int, f array<float>"),
+        table([(i, f.tolist()) for i, f in enumerate(vectors)], "item_idx int, f array<float>"),
+        table(sorted(seen), "user_idx int, item_idx int"),
+        3,
+        item_block=20,
+    )
+    got = {}
+    for r in found.lists.collect():
+        got.setdefault(r.user_idx, []).append((-round(r.score, 9), r.item_idx))
+    scores = own.astype(float) @ vectors.astype(float).T
+    for u in range(40):
+        want = sorted((-round(s, 9) + 0.0, i) for i, s in enumerate(scores[u]) if (u, i) not in seen)[:3]
+        assert [i for _, i in sorted(got[u])[:3]] == [i for _, i in want]
+    assert found.pairs == 40 * 15
+    # Of skewed lengths most blocks are left out, of equal ones next to none.
+    assert found.scored < 0.2 * found.pairs if skewed else found.scored <= found.pairs, found.scored
+
+
 def union_fixture(spark):
     def ranked(rows):
         return spark.createDataFrame([(1, i, 1.0 / n, n) for n, i in enumerate(rows, 1)], "user_id bigint, item_id bigint, score double, rank int")

@@ -3,16 +3,23 @@
 Exact patterns with their checks give the base spans. Generators of high recall propose further,
 overlapping spans: addresses with spelt-out signs, digit groups with other separators or without a
 plus, dotted numbers. Boosted trees score each candidate by its format and its surroundings; they learn
-from candidates on base spans (personal data) against the others, without seeing what the exact checks
-look at (check digit, leading plus). A threshold per kind is calibrated on all documents kept out of the fit.
-Candidates above it are added; base spans always stay.
+from candidates on base spans (personal data) against the others, without seeing how the base patterns tell
+them apart (check digit, leading plus, spelt-out signs).
+
+A candidate on no base span is not false but unlabelled: the base patterns may have missed it. Candidates that fail their
+kind's check whatever their spelling (check digit, parts of an address, number of digits) are false and never added. Among the
+others a share c of the true ones is labelled. c is estimated per kind, on all documents kept out of the fit, as the
+mean over the labelled ones of the labelled share at their score (Elkan & Noto 2008); the true ones at a score are
+the labelled ones over c. The threshold of a kind is the least score above which PRECISION of the candidates are
+true by that count. Candidates above it are added; base spans always stay. Where c is under LEAST_SHARE the base patterns say
+too little about the kind, and nothing is added to it.
 
 One pass over the texts finds spans and candidates per document as arrays; nothing is shuffled by
 document. The trees become CASE expressions, evaluated where the candidates lie.
 
 Defined results: a null or empty text has no spans. Null or repeated doc_ids are rows like any other.
-Without candidates of both classes nothing is added, nor to a kind with fewer than SUPPORT true candidates
-kept out of the fit. Positions are code points, end exclusive. Extra
+Without candidates of both classes nothing is added, nor to a kind with fewer than SUPPORT labelled candidates
+kept out of the fit. Very long texts are searched whole; candidates with one score share its bin. No rows: no rows. Positions are code points, end exclusive. Extra
 columns are ignored.
 """
 
@@ -54,8 +61,9 @@ CONTEXT = {
 BEFORE, AFTER = 24, 8
 #: Bounds of the fit: candidates used, trees and their depth.
 SAMPLE, TREES, DEPTH = 20_000, 10, 3
-#: Share of true candidates wanted above a threshold, and true candidates needed to calibrate one.
-PRECISION, SUPPORT = 0.95, 20
+#: Share of true candidates wanted above a threshold, labelled candidates needed to calibrate one, and the least share of
+#: the true ones that must be labelled.
+PRECISION, SUPPORT, LEAST_SHARE = 0.95, 20, 0.4
 BINS = 50
 STRIDE = 256
 
@@ -115,6 +123,25 @@ def _valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
+def _plain(kind: str, value: Column) -> Column:
+    """The value without the spelling that hides it from the base pattern."""
+    if kind != "email":
+        return value
+    sign = F.regexp_replace(value, r"\x20?[(\[](?:at|AT|@)[)\]]\x20?", "@")
+    return F.regexp_replace(sign, r"\x20?[(\[](?:dot|DOT|\.)[)\]]\x20?", ".")
+
+
+def _possible(kind: str, value: Column) -> Column:
+    """Whether the value passes its kind's check, however it is spelt."""
+    if kind == "email":
+        return _plain(kind, value).rlike(r"@[A-Za-z0-9-]++\.")
+    if kind == "ip":
+        return _valid(kind, F.regexp_replace(value, r"[.,:]\x20?", "."))
+    if kind == "card":
+        return F.length(_digits(value)).between(14, 19) & _valid(kind, value)
+    return _valid(kind, value)
+
+
 #: Names of a candidate's features, in the order of the fitted model.
 FEATURES = [
     "chars", "digits", "letters", "others", "groups", "longest", "first_group", "dots", "brackets", "upper",
@@ -124,6 +151,8 @@ FEATURES = [
 
 
 def _features(kind: str, value: Column, before: Column, after: Column) -> list[Column]:
+    value = _plain(kind, value)
+    before = F.regexp_replace(before, r"\+$", "") if kind == "phone" else before
     groups = F.filter(F.split(value, "[^0-9]+"), lambda g: g != "")
     sizes = F.transform(groups, F.length)
     digits, letters = F.length(_digits(value)), F.length(F.regexp_replace(value, "[^A-Za-z]", ""))
@@ -160,7 +189,8 @@ def _candidates(number: int, kind: str) -> Column:
 
     def proposed(m: Column, i: Column) -> Column:
         features = _features(kind, m["value"], F.get(between, i)["tail"], F.get(between, i + 1)["head"])
-        return F.struct(m["start"].alias("start"), F.lit(number).alias("kind"), m["end"].alias("end"), *features)
+        possible = _possible(kind, m["value"]).alias("possible")
+        return F.struct(m["start"].alias("start"), F.lit(number).alias("kind"), m["end"].alias("end"), *features, possible)
 
     return F.transform(f"g_{kind}", proposed)
 
@@ -254,7 +284,7 @@ def fit(found: DataFrame, sample: int = SAMPLE) -> Model:
         F.xxhash64("doc_id").alias("h"), "c.*", _on_base(F.col("c"), F.col("blocks")).cast("double").alias("label")
     )
     place = F.xxhash64("h", "start", "kind").alias("place")
-    rows = materialize(rows.select(place, "kind", *FEATURES, "label", (F.pmod("h", F.lit(10)) < 7).alias("learn")))
+    rows = materialize(rows.select(place, "kind", *FEATURES, "possible", "label", (F.pmod("h", F.lit(10)) < 7).alias("learn")))
     share = sample // (2 * len(KINDS))
     drawn = [
         rows.where(F.col("learn") & (F.col("kind") == kind) & (F.col("label") == label)).orderBy("place", *FEATURES).limit(share)
@@ -269,23 +299,37 @@ def fit(found: DataFrame, sample: int = SAMPLE) -> Model:
     fitted = booster.fit(vectors.select("features", "label"))
     trees = tuple(_nested(t._java_obj.rootNode(), w) for t, w in zip(fitted.trees, fitted.treeWeights, strict=True))
     model = Model(trees, {})
-    scored = rows.where(~F.col("learn")).withColumn("bin", F.floor(model.score(F.col) * BINS).cast("int"))
-    bins = scored.groupBy("kind", "bin").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("true")).collect()
-    thresholds = {}
-    for kind in range(len(KINDS)):
-        n = true = 0
-        for b in sorted((r for r in bins if r["kind"] == kind), key=lambda r: -r["bin"]):
-            n, true = n + b["n"], true + b["true"]
-            if true >= SUPPORT and true >= PRECISION * n:
-                thresholds[kind] = b["bin"] / BINS
-    return Model(trees, thresholds)
+    scored = rows.where(~F.col("learn") & F.col("possible")).withColumn("bin", F.floor(model.score(F.col) * BINS).cast("int"))
+    bins = scored.groupBy("kind", "bin").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("labelled")).collect()
+    own = {kind: [(r["bin"], r["n"], r["labelled"]) for r in bins if r["kind"] == kind] for kind in range(len(KINDS))}
+    return Model(trees, {kind: bar for kind, found in own.items() if (bar := threshold(found)) is not None})
+
+
+def labelled_share(bins: list[tuple[int, int, float]]) -> float:
+    """Share of the true candidates that is labelled, from (bin, candidates, labelled ones): the labelled share at a score,
+    averaged over the labelled ones."""
+    labelled = sum(t for _, _, t in bins)
+    return sum(t * t / n for _, n, t in bins) / labelled if labelled else 0.0
+
+
+def threshold(bins: list[tuple[int, int, float]]) -> float | None:
+    """Least score from which on PRECISION of the candidates are true; None where there is none."""
+    share = labelled_share(bins)
+    if share < LEAST_SHARE:
+        return None
+    bar, n, labelled = None, 0, 0.0
+    for place, own, hits in sorted(bins, reverse=True):
+        n, labelled = n + own, labelled + hits
+        if labelled >= SUPPORT and min(n, labelled / share) >= PRECISION * n:
+            bar = place / BINS
+    return bar
 
 
 def personal_data(docs: DataFrame) -> DataFrame:
     """doc_id, base and added spans, array<struct<start, kind, end>> each, sorted; one row per row of ``docs``."""
     found = materialize(find(docs))
     model = fit(found)
-    fresh = lambda c: model.accepts(c) & ~_on_base(c, F.col("blocks"))
+    fresh = lambda c: c["possible"] & model.accepts(c) & ~_on_base(c, F.col("blocks"))
     span = lambda c: F.struct(c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end"))
     added = F.transform(F.filter("candidates", fresh), span)
     return found.select("doc_id", "base", F.array_sort(added).alias("added"))

@@ -34,6 +34,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reelrank.llm.frames import STRIDE, running_sums
 from reelrank.session import materialize
 
 KINDS = ("email", "ip", "card", "phone")
@@ -65,28 +66,11 @@ SAMPLE, TREES, DEPTH = 20_000, 10, 3
 #: the true ones that must be labelled.
 PRECISION, SUPPORT, LEAST_SHARE = 0.95, 20, 0.4
 BINS = 50
-STRIDE = 256
-
-
-def _running(lengths: Column) -> Column:
-    """Sums of the elements before each, in blocks, so the work stays far below the square."""
-
-    def sums(values: Column, start: Column) -> Column:
-        begin = F.struct(start.cast("long").alias("t"), F.array().cast("array<bigint>").alias("a"))
-        step = lambda acc, x: F.struct((acc["t"] + x).alias("t"), F.concat(acc["a"], F.array(acc["t"])).alias("a"))
-        return F.aggregate(values, begin, step, lambda acc: acc["a"])
-
-    last = F.greatest(F.lit(0), F.floor((F.size(lengths) - 1) / STRIDE).cast("int"))
-    cut = F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(lengths, b * STRIDE + 1, STRIDE))
-    totals = F.transform(cut, lambda b: F.aggregate(b, F.lit(0).cast("long"), lambda t, x: t + x))
-    return F.flatten(F.zip_with(cut, sums(totals, F.lit(0)), sums))
-
-
 def _placed(values: Column, gaps: Column) -> Column:
     """array<struct<start, end, value>> of matches, from the matched strings and what is known of the text between."""
     lengths = F.zip_with(F.slice(gaps, 1, F.size(values)), values, lambda g, v: g["n"] + F.length(v))
     gap = lambda i: F.get(gaps, i)["n"]
-    placed = F.zip_with(values, _running(lengths), lambda v, s: F.struct(s.alias("s"), v.alias("v")))
+    placed = F.zip_with(values, running_sums(lengths), lambda v, s: F.struct(s.alias("s"), v.alias("v")))
     return F.transform(
         placed,
         lambda m, i: F.struct(

@@ -1,4 +1,5 @@
 import hashlib
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -65,5 +66,23 @@ def test_query(spark, sf_dir):
 def test_plan(spark, turns):
     made = chat.format_conversations(frame(spark, turns))
     plan = made._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1 and "Python" not in plan
+    assert plan.count("Exchange hashpartitioning") == 1 and "Python" not in plan and "Window" not in plan
     assert chat.format_conversations(frame(spark, turns).limit(0)).count() == 0
+
+
+def test_very_long_conversations_and_texts(spark):
+    """100,000 turns, runs of one role up to 1,000 long, and a text of millions of characters: read back in linear time."""
+    started = time.time()
+    role = F.when(F.floor(F.col("id") / (1 + F.col("id") % 1000)) % 2 == 0, "user").otherwise("assistant")
+    text = F.concat(F.lit("</s> é\U0001f600 "), F.col("id").cast("string"), F.lit("[SEP]"))
+    many = spark.range(100_000).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), text.alias("text"))
+    long = spark.range(2).select(F.lit(2).alias("conv_id"), F.col("id").alias("turn"), F.lit("assistant").alias("role"), F.repeat(F.lit("ab<s>\n"), 500_000).alias("text"))
+    turns = many.unionByName(long)
+    made = chat.format_conversations(turns)
+    read = made.withColumns({"back": chat.read_turns(F.col("formatted")), "trained": chat.loss_text(F.col("formatted"), F.col("loss"))})
+    got = {r.conv_id: r for r in read.select("conv_id", F.col("back.role").alias("roles"), F.col("back.text").alias("texts"), "trained").collect()}
+    own = [(r.role, r.text) for r in many.orderBy("turn").collect()]
+    assert list(zip(got[1].roles, got[1].texts)) == own
+    assert got[1].trained == "".join(x for r, x in own if r == "assistant")
+    assert got[2].texts == ["ab<s>\n" * 500_000] * 2 and got[2].trained == "ab<s>\n" * 1_000_000
+    assert time.time() - started < 30

@@ -1,16 +1,17 @@
 """Benchmark decontamination by pigeonhole edit matching.
 
 Texts are compared as words (letters and digits, lower case). An item of n words may differ from a
-passage in ``floor(RATE * n)`` words (put in, left out or replaced). Cut into one piece more than that, at
+passage in ``floor(RATE * n)`` words (put in, left out or replaced); one of fewer than EDIT_WORDS words in none. Cut into one piece more than that, at
 least one piece stands in the passage unchanged, so exact hits of pieces (Aho-Corasick) find every
 passage within the budget. Around each hit Myers' bit-parallel algorithm computes the least distance of the item
 to any stretch of words there.
 
 Items are taken in blocks of bounded size, and every block meets all documents.
 
-Defined results: null texts are empty. Items of fewer than MIN_WORDS words are not searched: they would match
-ordinary prose. Items that repeat a text match each under its own id; items without an id are left
-out. Repeated documents give repeated rows. Extra columns are ignored.
+Defined results: null texts are empty; an item without a word stands nowhere. Very long texts are searched whole. Items that
+repeat a text match each under its own id. ``contaminated`` reports items that have an id, ``clean`` looks for those without one
+too. Of places of equal distance the first counts. Repeated documents give repeated rows. No rows: no rows. Extra columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -26,7 +27,8 @@ from pyspark.sql import functions as F
 from reelrank.llm.frames import blocks, in_small_batches
 
 RATE = 0.2
-MIN_WORDS = 8
+#: Words from which an item may differ from a passage.
+EDIT_WORDS = 8
 #: Characters of the items that one pass over the documents looks for.
 BLOCK_CHARS = 4_000_000
 
@@ -59,19 +61,24 @@ def least_distance(pattern: list[str], text: list[str]) -> int:
     return least
 
 
+def budget_of(words: list[str], rate: float = RATE) -> int:
+    """Words in which a passage may differ from an item."""
+    return int(rate * len(words)) if len(words) >= EDIT_WORDS else 0
+
+
 class Items:
     """The pieces of a block of items in one automaton."""
 
-    def __init__(self, items: list[tuple[int, str]], rate: float) -> None:
+    def __init__(self, items: list[tuple[int | None, str]], rate: float) -> None:
         import ahocorasick
 
         self.items = []
         pieces: dict[str, list[tuple[int, int]]] = {}
         for item_id, text in items:
             words = words_of(text)
-            if len(words) < MIN_WORDS:
+            if not words:
                 continue
-            budget, k = int(rate * len(words)), len(self.items)
+            budget, k = budget_of(words, rate), len(self.items)
             cuts = np.linspace(0, len(words), budget + 2).astype(int)
             for a, b in zip(cuts, cuts[1:]):
                 pieces.setdefault(f" {' '.join(words[a:b])} ", []).append((k, int(a)))
@@ -106,10 +113,11 @@ class Items:
                 distance = least_distance(pattern, stretch)
                 if distance <= budget and distance < best.get(k, (budget + 1,))[0]:
                     best[k] = (distance, max(0, first))
-        return sorted((self.items[k][0], d, w) for k, (d, w) in best.items())
+        found = [(self.items[k][0], d, w) for k, (d, w) in best.items()]
+        return sorted(found, key=lambda m: (m[0] is not None, m[0] or 0, m[1:]))
 
 
-def matcher(items: list[tuple[int, str]], rate: float = RATE) -> Callable[[Column], Column]:
+def matcher(items: list[tuple[int | None, str]], rate: float = RATE) -> Callable[[Column], Column]:
     """A column function: text -> the items of this block that stand in it."""
 
     @F.pandas_udf(MATCHES)
@@ -123,15 +131,17 @@ def matcher(items: list[tuple[int, str]], rate: float = RATE) -> Callable[[Colum
     return found
 
 
-def item_blocks(benchmark: DataFrame, chars: int = BLOCK_CHARS) -> Iterator[list[tuple[int, str]]]:
-    """The items (item_id, text) in blocks of about ``chars`` characters, one block at a time."""
-    items = benchmark.where(F.col("item_id").isNotNull() & F.col("text").isNotNull())
+def item_blocks(benchmark: DataFrame, chars: int = BLOCK_CHARS, unnamed: bool = False) -> Iterator[list[tuple[int | None, str]]]:
+    """The items (item_id, text), with those without an id if ``unnamed``, in blocks of about ``chars`` characters, one
+    block at a time."""
+    items = benchmark.where(F.col("text").isNotNull() & (F.lit(unnamed) | F.col("item_id").isNotNull()))
     items = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     n = blocks(int(total), chars)
     for b in range(n):
         block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == b)
-        yield sorted((r["item_id"], r["text"]) for r in block.collect())
+        found = [(r["item_id"], r["text"]) for r in block.collect()]
+        yield sorted(found, key=lambda item: (item[0] is not None, item[0] or 0, item[1]))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, chars: int = BLOCK_CHARS) -> DataFrame:
@@ -146,9 +156,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, char
 def clean(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, chars: int = BLOCK_CHARS) -> DataFrame:
     """``docs`` without the rows in which an item stands."""
     in_small_batches(docs)
-    for block in item_blocks(benchmark, chars):
+    for block in item_blocks(benchmark, chars, unnamed=True):
         docs = docs.where(F.size(matcher(block, rate)(F.col("text"))) == 0)
     return docs
 
 
-__all__ = ["Items", "clean", "contaminated", "least_distance", "words_of"]
+__all__ = ["Items", "budget_of", "clean", "contaminated", "least_distance", "words_of"]

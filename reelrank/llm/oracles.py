@@ -47,7 +47,7 @@ WITH split AS (
 ), worded AS (
   SELECT doc_id, line, raw, list_filter(regexp_split_to_array(raw, '[ \t\n\x0b\f\r]+'), lambda w: w <> '') AS w FROM split
 ), placed AS (
-  SELECT doc_id, line, w, array_to_string(w, ' ') AS s FROM worded WHERE len(w) >= 4
+  SELECT doc_id, line, w, array_to_string(w, ' ') AS s FROM worded WHERE len(w) >= 1
 ), firsts AS (
   SELECT s, any_value(w) AS w, min((doc_id, line)) AS first FROM placed GROUP BY s
 ), variants AS (

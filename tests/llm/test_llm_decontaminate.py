@@ -30,7 +30,7 @@ def test_bit_vectors_like_the_table():
 def case(prose):
     rng = random.Random(2)
     items = [(i, prose(1000 + i, 10 + i)) for i in range(12)] + [(90, "too short"), (91, None), (None, prose(5, 20))]
-    items.append((92, items[0][1]))
+    items += [(92, items[0][1]), (93, "Short one, of 5!"), (94, "quite"), (95, "five of seven words may not differ"), (96, " - ")]
     rows = []
     for d in range(120):
         words = prose(d, 60).split(" ")
@@ -40,6 +40,8 @@ def case(prose):
             item = item[:at] + ["odd"] * (what < 2) + item[at + (what > 0) :]
         text = " ".join(words[:20] + item + words[20:])
         rows.append((d, text.upper().replace(" ", ", ") if d % 3 else text))
+    rows += [(200, "it is TOO -- short"), (201, "too long, short"), (202, "a short one of 5 words"), (203, "short one of 6")]
+    rows += [(204, "Quite."), (205, "quiet"), (206, "five of eight words may not differ"), (207, f"x {prose(5, 20)} y")]
     return items, rows
 
 
@@ -50,17 +52,21 @@ def test_finds_every_passage_within_the_budget(spark, make_docs, case):
     for d, text in rows:
         for i, item in items:
             words = dc.words_of(item)
-            if i is not None and len(words) >= dc.MIN_WORDS:
-                distance = least(words, dc.words_of(text))
-                if distance <= int(dc.RATE * len(words)):
-                    want[(d, i)] = distance
+            distance = least(words, dc.words_of(text)) if words else None
+            if i is not None and words and distance <= (int(dc.RATE * len(words)) if len(words) >= 8 else 0):
+                want[(d, i)] = distance
     got = {(r["doc_id"], r["item_id"]): r["distance"] for r in dc.contaminated(make_docs(rows), benchmark).collect()}
     assert got == want and len(set(want.values())) > 2
     # In several blocks of items the rows are the same.
     split = {(r["doc_id"], r["item_id"]): r["distance"] for r in dc.contaminated(make_docs(rows), benchmark, chars=300).collect()}
     assert split == want
     kept = {r["doc_id"] for r in dc.clean(make_docs(rows), benchmark, chars=300).collect()}
-    assert kept == {d for d, _ in rows} - {d for d, _ in want}
+    # Documents that hold the item without an id go too.
+    nameless = next(dc.words_of(item) for i, item in items if i is None)
+    unnamed = {d for d, text in rows if least(nameless, dc.words_of(text)) <= int(dc.RATE * len(nameless))}
+    assert 207 in unnamed and 207 not in {d for d, _ in want}
+    assert kept == {d for d, _ in rows} - {d for d, _ in want} - unnamed
+    assert {(200, 90), (202, 93), (204, 94)} <= set(want) and not {d for d, _ in want} & {201, 203, 205, 206}
 
 
 def test_odd_rows(spark, make_docs, odd_rows):

@@ -51,11 +51,11 @@ def test_near_duplicates(stages):
 def test_decontaminated(spark, sf_dir, stages):
     before, after = stages["decontaminate"]
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
-    words = [dc for _, t in items if len(dc := decontaminate.words_of(t)) >= decontaminate.MIN_WORDS]
+    words = [dc for _, t in items if (dc := decontaminate.words_of(t))]
 
     def dirty(text):
         own = decontaminate.words_of(text)
-        return any(decontaminate.least_distance(w, own) <= int(decontaminate.RATE * len(w)) for w in words)
+        return any(decontaminate.least_distance(w, own) <= decontaminate.budget_of(w) for w in words)
 
     assert set(rows(after)) == {d for d, t in rows(before).items() if not dirty(t)}
 

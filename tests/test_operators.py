@@ -117,6 +117,18 @@ def test_successors(spark):
     assert candidates.successor_candidates(more, found, item_index=2).select("user_id").distinct().count() <= 1
 
 
+def test_successor_lists_are_made_in_tasks_of_bounded_size(spark):
+    # Sixty users end with item 0, which thirty items follow: a short table of last items, many rows of lists.
+    log = log_of(spark, {**{u: [100 + u, 0] for u in range(60)}, **{100 + i: [0, 1 + i] for i in range(30)}}).persist()
+    found = candidates.successor_pairs(log)
+    whole = candidates.successor_candidates(log, found)
+    cut = candidates.successor_candidates(log, found, list_rows=100)
+    assert pairs(cut, *cut.columns) == pairs(whole, *whole.columns)
+    assert cut.where("user_id < 60").count() == 60 * 30
+    sizes = cut.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.count(F.lit(1))).first()
+    assert sizes[0] <= 400 and sizes[1] >= 10
+
+
 def test_budget_follows_history(spark):
     log = log_of(spark, {1: [1], 2: [1, 2]})
     scores = spark.createDataFrame(

@@ -6,7 +6,10 @@ from pathlib import Path
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from reelrank.operators import bm25, gram
 from reelrank.session import materialize
@@ -97,6 +100,25 @@ def test_sparse_sums():
     assert dict(zip(sums.codes.tolist(), sums.values.tolist())) == want
 
 
+def test_dense_sums_hold_a_cell_per_code_and_nothing_waits():
+    rng = np.random.default_rng(5)
+    dense_sums, sparse = gram.DenseSums(100), gram.SparseSums(50)
+    for _ in range(40):
+        codes, values = rng.integers(0, 90, 17), rng.integers(0, 1 << 50, 17) * rng.integers(0, 2, 17)
+        dense_sums.add(codes, values)
+        sparse.add(codes, values)
+    dense_sums.settle()
+    sparse.settle()
+    assert dense_sums.codes.tolist() == sparse.codes.tolist() and dense_sums.values.tolist() == sparse.values.tolist()
+
+
+def test_long_histories_are_added_in_stretches():
+    items = pa.array([list(range(n)) for n in (3, 3, 9, 0, 1)], pa.list_(pa.int32()))
+    batch = pa.RecordBatch.from_arrays([items, pa.array(range(5))], names=["items", "nth"])
+    parts = list(gram._cut_batches(iter([batch, batch.slice(0, 0)]), 6))
+    assert [p.column("nth").to_pylist() for p in parts] == [[0, 1], [2], [3, 4]]
+
+
 SIMILARITY_MEMORY = """
 import resource
 import numpy as np, pyarrow as pa
@@ -167,6 +189,22 @@ def test_neighbour_lists(log, watched, sim, options):
         assert [s for _, s in got[user]] == pytest.approx([s for _, s in want[user]])
 
 
+def test_lists_below_the_bar_are_not_sent(spark, log, watched, sim):
+    """Many item blocks: a first pass finds how good a row must be. A user without an id keeps a list as well."""
+    unnamed = log.where("user_id = 7").select(F.lit(None).cast("bigint").alias("user_id"), "item_id")
+    log = materialize(log.unionByName(unnamed))
+    options = {"held": 20, "products": 40}
+    whole = bm25.neighbour_lists(log, sim, 5, **options)
+    cut = materialize(bm25.neighbour_lists(log, sim, 5, **options, bar_rows=0))
+    assert cut.count() < whole.count()
+    order = Window.partitionBy("user_id").orderBy(F.desc(F.round("score", 9)), "item_id")
+    best = [sorted(map(str, df.withColumn("r", F.row_number().over(order)).where("r <= 5").collect())) for df in (whole, cut)]
+    assert best[0] == best[1]
+    assert cut.where("user_id is null").count() >= 5
+    got, want = lists(log.where("user_id is not null"), sim, 5, **options, bar_rows=0), expected_lists(watched, sim, 5)
+    assert {u: [i for i, _ in got[u]] for u in got} == {u: [i for i, _ in want[u]] for u in want}
+
+
 def test_grid():
     """A catalogue of ten million items: fewer copies of the log than products; bytes near the least there is."""
     rows, users, n, items = 10**12, 10**9, 400, 10**7

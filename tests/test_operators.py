@@ -447,3 +447,17 @@ def test_log_rows_without_an_id_raise(spark):
     for row in [(None, "2", "2024-01-05", "3"), ("1", None, "2024-01-05", "3"), ("1", "2", "soon", "3")]:
         with pytest.raises(Exception, match="no user_id|no item_id|not a time"):
             clean.typed_log(spark.createDataFrame([row], schema)).collect()
+
+
+def test_texts_join_the_candidates_last(spark):
+    """No shuffle by (user, item) carries the texts."""
+    rows = spark.createDataFrame([(1, 2, 3.0, 0.5)], "user_id bigint, item_id bigint, sum_watch_time double, mean_watch_time double")
+    numbers = spark.createDataFrame([(2, 4.0)], "item_id bigint, approx_duration double")
+    named = spark.createDataFrame([(2, "2020-01-01", *"abcde")], "item_id bigint, date_publication string, " + ", ".join(f"{t} string" for t in training.TEXT_FEATURES))
+    stats = [spark.createDataFrame([(1, 2, 0.25)], "user_id bigint, item_id bigint, similarity_mean double")]
+    made = training.candidate_features(rows, numbers, named, stats, "cooc")
+    found = made.first()
+    assert (found.similarity_mean, found.mean_time_rel, found.text) == (0.25, 0.1, "a")
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join " in line]
+    assert "user_id" not in joins[0] and any("user_id" in line for line in joins[1:])

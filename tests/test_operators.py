@@ -392,6 +392,65 @@ def test_cold_start_for_an_unknown_user(spark):
     assert pairs(got, "rank", "item_id") == [(1, 1), (2, 3)]
 
 
+def global_lists(spark, log, items, users=None, top_n=2, limit=10_000):
+    hot_users, hot_items = hot_keys(log, ["user_id"], limit), hot_keys(log, ["item_id"], limit)
+    local, views = coldstart.local_top_items(log, 100), clean.item_views(log, items)
+    got = coldstart.cold_start_global(log, items, views, local, users, top_n, hot_users, hot_items)
+    lists = {}
+    for user, rank, item in sorted((tuple(r) for r in got.select("user_id", "rank", "item_id").collect()), key=lambda r: r[1]):
+        lists.setdefault(user, []).append(item)
+        assert len(lists[user]) == rank
+    return lists
+
+
+def cold_numbers(spark, seed=5):
+    """Twelve users with histories of very different length over 30 items, the popular ones watched most."""
+    rng = np.random.default_rng(seed)
+    sequences = {u: sorted({int(30 * x**3) for x in rng.random(1 + u * u // 3)}) for u in range(1, 13)}
+    genres = [str([int(g) for g in rng.choice(5, rng.integers(0, 4), replace=False)]) for _ in range(32)]
+    items = spark.createDataFrame(list(enumerate(genres)), "item_id bigint, genres string")
+    return log_of(spark, sequences), items
+
+
+@pytest.mark.parametrize("head, limit", [(0, 1), (0, 10_000), (7, 1), (200, 10_000)])
+def test_global_cold_start_by_heads_and_by_places(spark, monkeypatch, head, limit):
+    """No user, some or all find their items in the heads of the lists: the same lists."""
+    monkeypatch.setattr(coldstart, "HEAD_PLACES", head)
+    log, items = cold_numbers(spark)
+    assert global_lists(spark, log, items, top_n=3, limit=limit) == brute_cold(log, items, 3, True)
+
+
+def test_global_cold_start_sends_rows_per_place_for_few(spark, monkeypatch):
+    """Only who has seen more of the heads than these can spare asks for single places."""
+    asked, by_places = [], coldstart.unseen_by_views
+
+    def watched(wanted, *rest):
+        asked.extend(r.user_id for r in wanted.select("user_id").distinct().collect())
+        return by_places(wanted, *rest)
+
+    monkeypatch.setattr(coldstart, "unseen_by_views", watched)
+    log, items = cold_numbers(spark)
+    want = brute_cold(log, items, 3, True)
+    assert global_lists(spark, log, items, top_n=3) == want
+    assert asked == []
+    monkeypatch.setattr(coldstart, "HEAD_PLACES", 12, raising=False)
+    assert global_lists(spark, log, items, top_n=3) == want
+    assert 0 < len(asked) < 12
+    seen = dict(pairs(log.groupBy("user_id").count(), "user_id", "count"))
+    assert all(seen[u] > 9 for u in asked)
+
+
+def test_global_cold_start_of_a_catalogue_that_names_items_twice(spark, monkeypatch):
+    """Both ways give a user the same lists, also where the user is unknown, null or asked for twice."""
+    log, items = cold_numbers(spark)
+    items = items.unionByName(items.where("item_id % 3 = 0"))
+    users = log.select("user_id").unionByName(spark.createDataFrame([(77,), (None,)], "user_id bigint"))
+    by_heads = global_lists(spark, log, items, users, 3)
+    monkeypatch.setattr(coldstart, "HEAD_PLACES", 0)
+    assert by_heads == global_lists(spark, log, items, users, 3)
+    assert set(by_heads) == {*range(1, 13), 77, None}
+
+
 def test_average_precision(spark):
     predicted = spark.createDataFrame(
         [(1, 1, 1), (1, 9, 2), (1, 2, 3), (1, 1, 4), (2, 1, 1), (3, 1, 1), (3, 2, 2)],

@@ -95,3 +95,13 @@ def test_best_of_ragged_rows():
     want = [(i, k) for r in range(40) for k, i in enumerate(sorted(np.flatnonzero(row == r), key=lambda i: (-value[i], i))[:5], 1)]
     assert list(zip(entry, rank)) == want and kept[entry].all() and bar[7] == -np.inf
     assert all(kept[i] == (value[i] >= bar[row[i]]) for i in range(900))
+
+
+def test_lists_by_history_from_packed_neighbours(log, sim):
+    """The length goes by all rows of a user, also those without an item; who has no id has no list."""
+    budget = Budget(6, 3, 6)
+    lists = candidates.bm25_candidates(log, materialize(bm25.item_similarity(log, K, packed_rows=0)), budget)
+    want = candidates.bm25_candidates(log, sim, budget)
+    assert rows_of(lists) == rows_of(want)
+    lengths = {r["count"] for r in lists.groupBy("user_id").count().collect()}
+    assert {3, 6} <= lengths and lists.where("user_id is null").count() == 0

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from reelrank.operators import bm25, candidates, gram, packed
 from reelrank.operators.candidates import Budget
+from reelrank.plans import registry
 from reelrank.session import materialize, view_source
 
 K = 7
@@ -105,3 +106,13 @@ def test_lists_by_history_from_packed_neighbours(log, sim):
     assert rows_of(lists) == rows_of(want)
     lengths = {r["count"] for r in lists.groupBy("user_id").count().collect()}
     assert {3, 6} <= lengths and lists.where("user_id is null").count() == 0
+
+
+def test_the_first_list_is_stored_before_the_second_is_made(spark):
+    """Its shuffles would lie on disk beside those of the union until the query ends."""
+    rows = [(u, (u * 3 + 5 * k) % 23, k) for u in range(12) for k in range(6)]
+    d1 = materialize(spark.createDataFrame(rows, "user_id long, item_id long, k long").selectExpr("user_id", "item_id", "timestamp_seconds(k) as ts"))
+    follow, near = registry._lists(d1, K, Budget(5, 5, 0))
+    assert "Exchange" not in follow._jdf.queryExecution().executedPlan().toString()
+    whole = candidates.successor_candidates(d1, candidates.successor_pairs(d1))
+    assert follow.count() > 0 and rows_of(follow) == rows_of(whole) and near.count() > 0

@@ -15,14 +15,14 @@ K = 7
 
 @pytest.fixture(scope="module")
 def log(spark):
-    """60 users, one without an id; users 0 and 1 saw nearly everything, and one row has no item."""
+    """60 users, one without an id; users 0 and 1 saw nearly everything, and one row has no item. Ids have more digits than a double."""
     rng = np.random.default_rng(3)
     seen = rng.random((60, 25)) < 0.2
     seen[0] = True
     seen[1] = rng.random(25) < 0.8
     seen[:, 0] |= rng.random(60) < 0.5
     users, items = np.nonzero(seen)
-    rows = spark.createDataFrame(pd.DataFrame({"user_id": users.astype("int64"), "item_id": items.astype("int64") * 3}))
+    rows = spark.createDataFrame(pd.DataFrame({"user_id": users.astype("int64"), "item_id": items.astype("int64") * 3 + (1 << 60)}))
     unnamed = rows.where("user_id = 7").select(F.lit(None).cast("bigint").alias("user_id"), "item_id")
     no_item = rows.where("user_id = 8").limit(1).select("user_id", F.lit(None).cast("bigint").alias("item_id"))
     return materialize(rows.unionByName(unnamed).unionByName(no_item))
